@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,6 +15,11 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+def ship(module: str) -> None:
+    """Send the functions of a module along with the tasks that call them, so that executors need no copy of the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of the session; one of our own only where none is set (tests)."""
     sc = spark.sparkContext
