@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from betaloom.shared import blocked_cumsum
+from betaloom.shared import blocked_cumsum, cut_lineage
 
 #: Blocks into which the range of a column is cut for running shares.
 BLOCKS = 512
@@ -144,6 +144,7 @@ def rare_masks(masks: DataFrame, dominant: float = 0.01, rare: float = 0.001) ->
 
 def failed_checks(counts: DataFrame, loads: DataFrame, checks: Mapping[str, Check], agreements: Mapping[str, str], *, null_share: float = 0.05, range_share: float = 0.01, distinct_ratio: float = 3.0, drift: float = 0.15, mismatch_share: float = 0.02) -> DataFrame:
     """(load_id, column_name, check_name) of all checks that fail; agreements maps pseudo-column to reported column."""
+    counts = cut_lineage(counts)  # every check reads the same counts
     prof = column_profile(mask_profile(counts, checks))
     flags = prof.select(
         "load_id",
