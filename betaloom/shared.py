@@ -50,16 +50,15 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
-def blocked_rank(df: DataFrame, keys: Sequence[str], hash_col: str, tie: Sequence[str], out: str = "rank", blocks: int = 1024) -> DataFrame:
+def blocked_rank(df: DataFrame, keys: Sequence[str], hash_col: str, tie: Sequence[str], out: str = "rank", blocks: int = 1024, span: tuple[float, float] = (-(2.0**63), 2.0**63)) -> DataFrame:
     """1-based rank of each row within `keys` by (hash_col, tie), without a group in one task.
 
-    hash_col is a uniform 64-bit hash. Each group is cut by its leading bits into `blocks` blocks; rows are ranked
+    hash_col is a whole number spread evenly over `span`, by default a 64-bit hash. Each group is cut by its leading bits into `blocks` blocks; rows are ranked
     inside (keys, block) and the counts of earlier blocks are added. Only the block counts, at most `blocks` rows a
     group, meet in one window partition. Null keys form groups of their own. An empty table gives an empty table.
     """
     keys = list(keys)
-    # leading bits of the hash, shifted so that they run from 0 upwards
-    block = F.floor((F.col(hash_col) / F.lit(2.0**64) + F.lit(0.5)) * F.lit(blocks)).cast("int")
+    block = F.floor((F.col(hash_col) - F.lit(span[0])) / F.lit(span[1] - span[0]) * F.lit(blocks)).cast("int")
     d = df.withColumn("_blk", F.least(F.greatest(block, F.lit(0)), F.lit(blocks - 1)))
     sizes = d.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*keys).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
