@@ -37,6 +37,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a scan with fewer partitions than cores, dealt out for costly per-row work; a larger table is left where it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * 4, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def sized(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast of `small` after counting it; beyond max_rows it is left to a shuffled (skew-aware) join."""
     return F.broadcast(small) if small.limit(max_rows + 1).count() <= max_rows else small
