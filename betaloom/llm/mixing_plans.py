@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from betaloom.llm.mixing import mix, plain
 from betaloom.llm.tokens import VOCABULARY, token_count
-from betaloom.shared import cut_lineage
+from betaloom.shared import cut_lineage, spread
 from betaloom.sources.tables import table
 
 
 def _mix(spark: SparkSession, d: str, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
-    docs = table(spark, d, "documents").repartition(spark.sparkContext.defaultParallelism * 4, "doc_id")
+    docs = spread(table(spark, d, "documents").select("doc_id", "source", "text"), "doc_id")
     sizes = cut_lineage(docs.select(F.col("doc_id").alias("rec"), plain(F.col("source")).alias("source"), token_count("text", vocabulary).alias("size")))
     targets = table(spark, d, "mix_targets").select(plain(F.col("source")).alias("source"), F.col("source").alias("name"), "target_share", "max_repeats")
     return mix(sizes, targets)

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from betaloom.llm.packing import pack
 from betaloom.llm.tokens import VOCABULARY, token_count
-from betaloom.shared import cut_lineage
+from betaloom.shared import cut_lineage, spread
 from betaloom.sources.tables import table
 
 
 def _placed(spark: SparkSession, d: str, vocabulary: str = VOCABULARY) -> tuple[DataFrame, int]:
     capacity = table(spark, d, "containers").agg(F.min("capacity_tokens")).first()[0]
-    docs = table(spark, d, "documents").repartition(spark.sparkContext.defaultParallelism * 4, "doc_id")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     sizes = cut_lineage(docs.select(F.col("doc_id").alias("item_id"), token_count("text", vocabulary).alias("size")))
     return pack(sizes, capacity), capacity
 

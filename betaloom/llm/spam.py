@@ -7,11 +7,12 @@ without sentences, code, logs or tables around them. A page is flagged if most o
 but nearly all of its phrases are replicated.
 
 A phrase has two or more hosts if the least and the greatest host differ, which partial aggregation settles before the
-shuffle. Only pages that are list-like to some degree (few) are joined back to their shingles; hosts are counted over
-the phrases of all pages.
+shuffle. Hosts are counted over the phrases of all pages; only pages that are list-like to some degree (few) are looked up
+among them.
 
 Defined results: null and empty texts have no evidence and are not flagged; a page without host is a host of its own;
-repeated rows share one id and are one page; texts of any length are read whole; an empty table gives no rows.
+rows that share an id are one page, with the
+greatest density of its rows and the shingles of all; texts of any length are read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -130,15 +131,20 @@ def shingles(text: Column, words: int = WORDS) -> Column:
 
 
 def pages(docs: DataFrame, id_col: str, host_col: str, text_col: str) -> DataFrame:
-    """Evidence and verdict of every page: id, density, bare_links, bare_words, stitched (of list-like pages), flagged."""
-    d = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(host_col).cast("string"), F.concat(F.lit("page "), F.col(id_col).cast("string"))).alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    d = d.dropDuplicates(["id"])
-    seen = cut_lineage(d.select("id", _density("text").alias("e")).select("id", "e.*"))
-    some = seen.filter(F.col("density") >= PARTLY).select("id", F.lit(True).alias("listed"))
-    all_shingles = d.join(some, "id", "left").select("id", "host", F.coalesce("listed", F.lit(False)).alias("listed"), F.explode(shingles(F.col("text"))).alias("sh"))
-    hosts = all_shingles.groupBy("sh").agg(F.min("host").alias("lo"), F.max("host").alias("hi"), F.max("listed").alias("listed"))
-    spread = hosts.filter("listed and lo <> hi").select("sh", F.lit(True).alias("elsewhere"))
-    mine = all_shingles.filter("listed").groupBy("id", "sh").agg(F.count(F.lit(1)).alias("n"))
+    """Evidence and verdict of every page: id, density, bare_links, bare_words, stitched (of list-like pages), flagged.
+
+    Texts are never shuffled: one pass takes list density, and the shingles of list-like pages along with it; another
+    counts the hosts of all shingles.
+    """
+    host = F.when(F.col(host_col).isNotNull(), F.xxhash64(F.col(host_col))).otherwise(F.xxhash64(F.lit("page"), F.col(id_col)))
+    d = docs.select(F.col(id_col).alias("id"), host.alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    e = d.select("id", "text", _density("text").alias("e"))
+    e = e.select("id", "e.*", F.when(F.col("e.density") >= PARTLY, shingles(F.col("text"))).alias("shingles"))
+    e = cut_lineage(e)
+    seen = e.groupBy("id").agg(F.max("density").alias("density"), F.max("bare_links").alias("bare_links"), F.max("bare_words").alias("bare_words"))
+    hosts = d.select("host", F.explode(shingles(F.col("text"))).alias("sh")).groupBy("sh").agg(F.min("host").alias("lo"), F.max("host").alias("hi"))
+    spread = hosts.filter("lo <> hi").select("sh", F.lit(True).alias("elsewhere"))
+    mine = e.filter("shingles is not null").select("id", F.explode("shingles").alias("sh")).groupBy("id", "sh").agg(F.count(F.lit(1)).alias("n"))
     share = mine.join(spread, "sh", "left").groupBy("id").agg((F.sum(F.when(F.col("elsewhere") | (F.col("n") > 1), F.col("n")).otherwise(0)) / F.sum("n")).alias("stitched"))
     out = seen.join(share, "id", "left").withColumn("stitched", F.coalesce("stitched", F.lit(0.0)))
     return out.withColumn("flagged", (F.col("density") > MOSTLY) | ((F.col("density") >= PARTLY) & (F.col("stitched") >= STITCHED)))

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from betaloom.llm.spam import pages
+from betaloom.shared import spread
 from betaloom.sources.tables import table
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "author_id", "text").repartition(spark.sparkContext.defaultParallelism * 4, "doc_id")
+    docs = spread(table(spark, d, "documents").select("doc_id", "author_id", "text"), "doc_id")
     return pages(docs, "doc_id", "author_id", "text")
 
 
