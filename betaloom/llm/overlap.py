@@ -42,43 +42,50 @@ def _cells(x: Column, radius: float) -> list[Column]:
     return [F.floor(x / width), F.floor(x / width + 0.5)]
 
 
+def _blocks(ex: Sequence[Column], pos: Column, x: Column, pos_radius: float, value_radius: float) -> tuple[list[Column], list[Column]]:
+    """The two position blocks and the two value blocks of a fingerprint; a missing value has blocks of its own."""
+    ps = [F.xxhash64(*ex, F.lit(i), c) for i, c in enumerate(_cells(pos, pos_radius))]
+    vs = [F.xxhash64(F.lit(i), F.coalesce(c, F.lit(-(2**40)))) for i, c in enumerate(_cells(x, value_radius))]
+    return ps, vs
+
+
 def coded(df: DataFrame, rec_id: str, exact: Sequence[str], pos: str, value: str, carry: Sequence[str], pos_radius: float = POS_RADIUS, value_radius: float = VALUE_RADIUS) -> DataFrame:
-    """One row per record, reading of its value and permuted pair of blocks: keys, fingerprint and what verification needs."""
+    """One row per record, reading of its value and permuted pair of blocks: the pair's number and key, and the record.
+
+    Fingerprints follow from the record, so the shuffle carries one key of 64 bits instead of them.
+    """
     v = F.when(~F.isnan(value), F.col(value).cast("double"))
     base = df.select(F.col(rec_id).alias("rec"), *[F.col(e).alias(f"e{i}") for i, e in enumerate(exact)], F.col(pos).cast("double").alias("pos"), v.alias("v"), *carry)
     ex = [f"e{i}" for i in range(len(exact))]
     base = base.filter(" and ".join(f"{x} is not null" for x in ["rec", "pos", *ex]))
     readings = F.when(F.col("v") <= 1, F.array(F.struct(F.lit(0).alias("no"), F.col("v").alias("x")), F.struct(F.lit(1).alias("no"), (F.col("v") * 100).alias("x")))).otherwise(F.array(F.struct(F.lit(0).alias("no"), F.col("v").alias("x"))))
     d = base.select("*", F.explode(readings).alias("r")).select("rec", "pos", "v", *carry, *ex, F.col("r.no").alias("no"), F.col("r.x").alias("x"))
-    ps = [F.xxhash64(*ex, F.lit(i), c) for i, c in enumerate(_cells(F.col("pos"), pos_radius))]
-    # a missing value has blocks of its own
-    vs = [F.xxhash64(F.lit(i), F.coalesce(c, F.lit(-(2**40)))) for i, c in enumerate(_cells(F.col("x"), value_radius))]
-    d = d.select("*", *[p.alias(f"p{i}") for i, p in enumerate(ps)], *[b.alias(f"b{i}") for i, b in enumerate(vs)])
-    perms = F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(j).alias("vi"), F.col(f"p{i}").alias("pk"), F.col(f"b{j}").alias("vk")) for i in (0, 1) for j in (0, 1)])
-    return d.withColumn("k", F.explode(perms)).select("*", "k.pi", "k.vi", "k.pk", "k.vk").drop("k")
+    ps, vs = _blocks([F.col(e) for e in ex], F.col("pos"), F.col("x"), pos_radius, value_radius)
+    perms = F.array(*[F.struct(F.lit(2 * i + j).cast("byte").alias("perm"), F.xxhash64(F.lit(2 * i + j), ps[i], vs[j]).alias("code")) for i in (0, 1) for j in (0, 1)])
+    return d.select("*", F.explode(perms).alias("k")).select("*", "k.perm", "k.code").drop("k")
 
 
 def pairs(train: DataFrame, other: DataFrame, n_exact: int, carry: Sequence[str] = (), pos_radius: float = POS_RADIUS, value_radius: float = VALUE_RADIUS) -> DataFrame:
     """Verified pairs of two coded tables: rec_t, rec_o, and carried columns of the other side."""
     ex = [f"e{i}" for i in range(n_exact)]
-    cols = ["rec", "pos", "v", "no", "x", *ex, "p0", "p1", "b0", "b1"]
-    t = train.select("pi", "vi", "pk", "vk", *[F.col(c).alias(f"t_{c}") for c in cols])
-    o = other.select("pi", "vi", "pk", "vk", *[F.col(c).alias(f"o_{c}") for c in cols], *carry)
-    j = t.join(o, ["pi", "vi", "pk", "vk"])
-    same = lambda b: F.col(f"t_{b}") == F.col(f"o_{b}")
-    distance = sum((F.bit_count(F.col(f"t_{b}").bitwiseXOR(F.col(f"o_{b}"))) for b in ("p0", "p1", "b0", "b1")), F.lit(0))
-    first = ((F.col("pi") == 0) | ~same("p0")) & ((F.col("vi") == 0) | ~same("b0"))
+    cols = ["rec", "pos", "v", "no", "x", *ex]
+    t = train.select("perm", "code", *[F.col(c).alias(f"t_{c}") for c in cols])
+    o = other.select("perm", "code", *[F.col(c).alias(f"o_{c}") for c in cols], *carry)
+    j = t.join(o, ["perm", "code"])
+    tb = _blocks([F.col(f"t_{e}") for e in ex], F.col("t_pos"), F.col("t_x"), pos_radius, value_radius)
+    ob = _blocks([F.col(f"o_{e}") for e in ex], F.col("o_pos"), F.col("o_x"), pos_radius, value_radius)
+    distance = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip([*tb[0], *tb[1]], [*ob[0], *ob[1]], strict=True)), F.lit(0))
+    # the pair counts at the first of the four permutations that it shares
+    first = ((F.col("perm") < 2) | (tb[0][0] != ob[0][0])) & ((F.col("perm") % 2 == 0) | (tb[1][0] != ob[1][0]))
     near = lambda a, b: F.abs(a - b) <= value_radius + SLACK
     tv, ov, tx, ox = F.col("t_v"), F.col("o_v"), F.col("t_x"), F.col("o_x")
-    both_null = tv.isNull() & ov.isNull()
-    value_ok = both_null | F.coalesce(near(tx, ox), F.lit(False))
+    value_ok = (tv.isNull() & ov.isNull()) | F.coalesce(near(tx, ox), F.lit(False))
     # readings in the order (0,0), (1,0), (0,1), (1,1): an earlier one that holds makes this one a repeat
-    small_t, small_o = tv <= 1, ov <= 1
-    plain, left, right = near(tv, ov), small_t & near(tv * 100, ov), small_o & near(tv, ov * 100)
+    plain, left, right = near(tv, ov), (tv <= 1) & near(tv * 100, ov), (ov <= 1) & near(tv, ov * 100)
     tn, on = F.col("t_no"), F.col("o_no")
     repeat = ((tn + on > 0) & plain) | ((on == 1) & left) | ((tn == 1) & (on == 1) & right)
     exact_ok = F.lit(True)
     for e in ex:
-        exact_ok = exact_ok & same(e)
-    ok = (distance <= 2 * BLOCK_BITS) & first & exact_ok & (F.abs(F.col("t_pos") - F.col("o_pos")) <= pos_radius) & value_ok & ~F.coalesce(repeat, F.lit(False))
+        exact_ok = exact_ok & (F.col(f"t_{e}") == F.col(f"o_{e}"))
+    ok = exact_ok & (F.abs(F.col("t_pos") - F.col("o_pos")) <= pos_radius) & value_ok & ~F.coalesce(repeat, F.lit(False)) & (distance <= 2 * BLOCK_BITS) & first
     return j.filter(ok).select(F.col("t_rec").alias("rec_t"), F.col("o_rec").alias("rec_o"), *carry)
