@@ -119,14 +119,18 @@ def _density(text: str) -> Column:
     return run(F.col(text))
 
 
-def shingles(text: Column, words: int = WORDS) -> Column:
-    """Hashes of all runs of `words` words, repeats included; a shorter text has none.
+def word_hashes(text: Column) -> Column:
+    return F.transform(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != ""), lambda x: F.xxhash64(x))
 
-    Shifted copies of the word list are zipped, so that nothing is looked up by position inside a lambda.
+
+def shingles(words: str, n: int = WORDS) -> Column:
+    """Hashes of all runs of n words, repeats included, from a column of word hashes; a shorter text has none.
+
+    Shifted copies of the list are zipped, so that nothing is looked up by position inside a lambda.
     """
-    w = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    n = F.greatest(F.size(w) - (words - 1), F.lit(0))
-    runs = F.arrays_zip(*[F.slice(w, i + 1, n).alias(f"w{i}") for i in range(words)])
+    w = F.col(words)
+    size = F.greatest(F.size(w) - (n - 1), F.lit(0))
+    runs = F.arrays_zip(*[F.slice(w, i + 1, size).alias(f"w{i}") for i in range(n)])
     return F.transform(runs, lambda z: F.xxhash64(z))
 
 
@@ -139,10 +143,11 @@ def pages(docs: DataFrame, id_col: str, host_col: str, text_col: str) -> DataFra
     host = F.when(F.col(host_col).isNotNull(), F.xxhash64(F.col(host_col))).otherwise(F.xxhash64(F.lit("page"), F.col(id_col)))
     d = docs.select(F.col(id_col).alias("id"), host.alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     e = d.select("id", "text", _density("text").alias("e"))
-    e = e.select("id", "e.*", F.when(F.col("e.density") >= PARTLY, shingles(F.col("text"))).alias("shingles"))
-    e = cut_lineage(e)
+    # a separate column of word hashes, so that texts are split once
+    e = e.select("id", "e.*", F.when(F.col("e.density") >= PARTLY, word_hashes(F.col("text"))).alias("w"))
+    e = cut_lineage(e.select("*", F.when(F.col("w").isNotNull(), shingles("w")).alias("shingles")).drop("w"))
     seen = e.groupBy("id").agg(F.max("density").alias("density"), F.max("bare_links").alias("bare_links"), F.max("bare_words").alias("bare_words"))
-    hosts = d.select("host", F.explode(shingles(F.col("text"))).alias("sh")).groupBy("sh").agg(F.min("host").alias("lo"), F.max("host").alias("hi"))
+    hosts = d.select("host", word_hashes(F.col("text")).alias("w")).select("host", F.explode(shingles("w")).alias("sh")).groupBy("sh").agg(F.min("host").alias("lo"), F.max("host").alias("hi"))
     spread = hosts.filter("lo <> hi").select("sh", F.lit(True).alias("elsewhere"))
     mine = e.filter("shingles is not null").select("id", F.explode("shingles").alias("sh")).groupBy("id", "sh").agg(F.count(F.lit(1)).alias("n"))
     share = mine.join(spread, "sh", "left").groupBy("id").agg((F.sum(F.when(F.col("elsewhere") | (F.col("n") > 1), F.col("n")).otherwise(0)) / F.sum("n")).alias("stitched"))
