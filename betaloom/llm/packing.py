@@ -1,6 +1,7 @@
 """Putting items into containers of fixed capacity: a configuration linear program over the histogram of lengths.
 
-A configuration says how many items of each length share a container. The program asks for the fewest containers whose
+A configuration says how many items of each length share a container; lengths are grouped into classes of about equal
+total, which bounds the program however many lengths there are. The program asks for the fewest containers whose
 configurations hold every length as often as it occurs; it is solved by multiplicative weights: each length has a weight
 that falls as it gets covered, and the next configuration is the knapsack of greatest weight, found by dynamic
 programming over the capacity. Configurations are then rounded down to whole containers, and what they leave is put
@@ -52,11 +53,22 @@ def _knapsack(lengths: np.ndarray, gains: np.ndarray, most: np.ndarray, capacity
     return dict(out)
 
 
-def solve_lp(hist: dict[int, int], capacity: int, eps: float = 0.1, max_steps: int = 2500, width: int = 48) -> dict[Config, float]:
-    """Fractional containers per configuration by multiplicative weights.
+def _classes(hist: dict[int, int], capacity: int, most: int, small: int) -> list[list[int]]:
+    """Lengths above `small`, in at most `most` runs of about equal total length; shorter ones are left for the gaps."""
+    lengths = [x for x in sorted(hist) if x > small]
+    if len(lengths) <= most:
+        return [[x] for x in lengths]
+    mass = np.cumsum([x * hist[x] for x in lengths])
+    of = np.minimum((mass - 1e-9) / mass[-1] * most, most - 1).astype(int)
+    return [[x for x, c in zip(lengths, of, strict=True) if c == i] for i in np.unique(of)]
 
-    Weights are exp(-eta * coverage) / count; a step adds a configuration until its scarcest length is covered by 1 / eta more.
-    Pricing runs the knapsack over the `width` lengths of greatest weight per unit, which an optimal filling draws on.
+
+def solve_lp(hist: dict[int, int], capacity: int, eps: float = 0.15, max_steps: int = 6000, width: int = 32) -> dict[Config, float]:
+    """Fractional containers per configuration by multiplicative weights, every length covered unless max_steps run out.
+
+    Weights are exp(-eta * coverage) / count with eta = ln(lengths) / eps; a step adds a configuration until its scarcest
+    length is covered by a quarter of 1 / eta more, and lengths that are covered drop out. Pricing runs the knapsack
+    over the `width` lengths of greatest weight per unit, which the best filling draws on.
     """
     lengths = np.array(sorted(hist), dtype=np.int64)
     counts = np.array([hist[x] for x in lengths], dtype=float)
@@ -67,11 +79,11 @@ def solve_lp(hist: dict[int, int], capacity: int, eps: float = 0.1, max_steps: i
         if not len(open_):
             break
         y = np.exp(-eta * (cover[open_] - cover[open_].min())) / counts[open_]
-        top = open_[np.argsort(-(y / lengths[open_]), kind="stable")[:width]]
-        gain = np.exp(-eta * (cover[top] - cover[open_].min())) / counts[top]
-        pick = _knapsack(lengths[top], gain, counts[top], capacity)
+        best = np.argsort(-(y / lengths[open_]), kind="stable")[:width]
+        top = open_[best]
+        pick = _knapsack(lengths[top], y[best], np.ceil(counts[top]), capacity)
         idx, a = top[list(pick)], np.array(list(pick.values()), dtype=float)
-        step = float((counts[idx] / a).min() / eta)
+        step = float((counts[idx] / a).min() / (4 * eta))
         cover[idx] += step * a / counts[idx]
         out[tuple(sorted(((int(lengths[i]), int(n)) for i, n in zip(idx, a, strict=True)), reverse=True))] += step
     return out
@@ -114,17 +126,55 @@ def _best_fit(rest: dict[int, int], capacity: int, open_: list[tuple[Config, int
     return [(tuple(sorted(c.items(), reverse=True)), n) for groups in by_room.values() for c, n in groups]
 
 
-def pack_histogram(hist: dict[int, int], capacity: int, eps: float = 0.1, max_steps: int = 2500) -> list[tuple[Config, int]]:
-    """Configurations and how many containers follow each; together they hold the histogram exactly."""
+def _dealt(config: Config, n: int, stock: dict[int, list[list[int]]]) -> list[tuple[Config, int]]:
+    """n containers of classes as containers of lengths: each slot takes a run of its class's stock, longest first."""
+    ends, slots = {0, n}, []
+    for cls, k in config:
+        for _ in range(k):
+            run, at = [], 0
+            while at < n:
+                size, left = stock[cls][-1]
+                use = min(left, n - at)
+                run.append((at, size))
+                at += use
+                ends.add(at)
+                stock[cls][-1][1] -= use
+                if left == use:
+                    stock[cls].pop()
+            slots.append(run)
+    cuts = sorted(ends)
+    out = []
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        c: dict[int, int] = defaultdict(int)
+        for run in slots:
+            c[max(x for x in run if x[0] <= lo)[1]] += 1
+        out.append((tuple(sorted(c.items(), reverse=True)), hi - lo))
+    return out
+
+
+def pack_histogram(hist: dict[int, int], capacity: int, eps: float = 0.15, max_steps: int = 6000, classes: int = 48, small: float = 1 / 64) -> list[tuple[Config, int]]:
+    """Configurations and how many containers follow each; together they hold the histogram exactly.
+
+    The program runs over classes of lengths, each standing for its longest; what its configurations leave free in
+    truth, and the lengths up to small * capacity, are settled by best fit.
+    """
     rest = {k: v for k, v in hist.items() if v > 0 and k < capacity}
     out = [(((capacity, 1),), hist[capacity])] if hist.get(capacity) else []
+    runs = _classes(rest, capacity, classes, int(small * capacity))
+    stock = {run[-1]: [[x, rest[x]] for x in run] for run in runs}
+    left = {run[-1]: sum(rest[x] for x in run) for run in runs}
     chosen: list[tuple[Config, int]] = []
-    for config, x in sorted(solve_lp(rest, capacity, eps, max_steps).items(), key=lambda t: (-t[1], t[0])):
-        n = min([int(x), *(rest[size] // k for size, k in config)])
+    for config, x in sorted(solve_lp(left, capacity, eps, max_steps).items(), key=lambda t: (-t[1], t[0])):
+        n = min([int(x), *(left[size] // k for size, k in config)])
         if n > 0:
-            chosen.append((config, n))
+            chosen += _dealt(config, n, stock)
             for size, k in config:
-                rest[size] -= n * k
+                left[size] -= n * k
+    for run in runs:
+        for x in run:
+            rest[x] = 0
+        for x, n in stock[run[-1]]:
+            rest[x] = n
     return out + sorted(_best_fit({k: v for k, v in rest.items() if v > 0}, capacity, chosen))
 
 

@@ -6,7 +6,7 @@ percentile read from the sum has a relative error of at most alpha, whatever the
 
 Defined results: null, NaN, infinite and out-of-range values (where a range is given) are not counted; null keys form
 groups of their own; a group without counted values has no percentiles; repeated rows count each; an empty table gives
-no rows. Only named columns are read, so that extra columns cannot clash.
+no rows. Only named columns are read, so that extra columns cannot clash; keys may have any name but those of the result.
 """
 
 from __future__ import annotations
@@ -78,23 +78,23 @@ def percentiles(counts: DataFrame, keys: Sequence[str], points: Mapping[str, Seq
     the buckets of one key and field, of which there are at most some thousands whatever the number of rows.
     """
     w = W.partitionBy(*keys, "field").orderBy("bucket")
-    run = counts.withColumn("upto", F.sum("n").over(w.rowsBetween(W.unboundedPreceding, 0))).withColumn("total", F.sum("n").over(W.partitionBy(*keys, "field")))
+    run = counts.withColumn("_upto", F.sum("n").over(w.rowsBetween(W.unboundedPreceding, 0))).withColumn("_total", F.sum("n").over(W.partitionBy(*keys, "field")))
     qs = F.array().cast("array<double>")
     for f, q in points.items():
         qs = F.when(F.col("field") == f, F.array(*[F.lit(float(x)) for x in q])).otherwise(qs)
-    h = (F.col("total") - 1) * F.col("q")
-    d = run.select("*", F.explode(qs).alias("q")).withColumn("k", F.floor(h)).withColumn("j", F.least(F.floor(h) + 1, F.col("total") - 1)).withColumn("frac", h - F.floor(h))
-    before = F.col("upto") - F.col("n")
-    has = lambda r: (F.col(r) >= before) & (F.col(r) < F.col("upto"))
-    d = d.filter(has("k") | has("j"))
+    h = (F.col("_total") - 1) * F.col("_q")
+    d = run.select("*", F.explode(qs).alias("_q")).withColumn("_k", F.floor(h)).withColumn("_j", F.least(F.floor(h) + 1, F.col("_total") - 1)).withColumn("_frac", h - F.floor(h))
+    before = F.col("_upto") - F.col("n")
+    has = lambda r: (F.col(r) >= before) & (F.col(r) < F.col("_upto"))
+    d = d.filter(has("_k") | has("_j"))
     pick = lambda r, x: F.max(F.when(has(r), x))
-    out = d.groupBy(*keys, "field", "q").agg(
-        F.max("total").alias("n"),
-        F.max("frac").alias("frac"),
-        pick("k", F.col("bucket")).alias("k_bucket"),
-        pick("k", F.col("k") - before).alias("k_offset"),
-        pick("j", F.col("bucket")).alias("j_bucket"),
-        pick("j", F.col("j") - before).alias("j_offset"),
+    out = d.groupBy(*keys, "field", F.col("_q").alias("q")).agg(
+        F.max("_total").alias("n"),
+        F.max("_frac").alias("frac"),
+        pick("_k", F.col("bucket")).alias("k_bucket"),
+        pick("_k", F.col("_k") - before).alias("k_offset"),
+        pick("_j", F.col("bucket")).alias("j_bucket"),
+        pick("_j", F.col("_j") - before).alias("j_offset"),
     )
     mix = lambda f: f(F.col("k_bucket"), alpha) * (1 - F.col("frac")) + f(F.col("j_bucket"), alpha) * F.col("frac")
     return out.withColumn("estimate", mix(middle)).withColumn("low", mix(lower)).withColumn("high", mix(upper))

@@ -66,6 +66,7 @@ _LOG = re.compile(r"\b\d\d:\d\d:\d\d\b|\b(?:DEBUG|INFO|WARN|WARNING|ERROR|TRACE|
 _PRODUCT = re.compile(r"\bsku\W?\d|\bref\.? ?\d|\bart\.? ?\d|\b\d+-pack\b|-\d+%|[.,]99\b", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _HASHTAG = re.compile(r"#(?=\w)")
+_DIGIT = re.compile(r"\d")
 _DASH = re.compile(r"\s[-–]\s")
 _MARK = "\x01"
 
@@ -77,7 +78,7 @@ def _is_prose(words: list[str], text: str) -> bool:
 
 def _is_technical(text: str, chars: int) -> bool:
     """Code, a table row or a row of numbers."""
-    digits = sum(c.isdigit() for c in text)
+    digits = len(_DIGIT.findall(text))
     return bool(_CODE.search(_DASH.sub(" ", text))) or (text.count("|") >= 2 and digits > 0) or text.count("\t") > 1 or (digits > 0.3 * chars and not _PRODUCT.search(text))
 
 
