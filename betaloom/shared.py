@@ -26,7 +26,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     now = sc._jsc.sc().getCheckpointDir()
     if now.isDefined():
         return now.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="betaloom-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="betaloom-")
     sc.setCheckpointDir(folder)
     return folder
 
