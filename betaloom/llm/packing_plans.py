@@ -12,9 +12,12 @@ from betaloom.sources.tables import table
 
 
 def _placed(spark: SparkSession, d: str, vocabulary: str = VOCABULARY) -> tuple[DataFrame, int]:
+    """Pieces with their containers, and the capacity; without a kind of container nothing is placed."""
     capacity = table(spark, d, "containers").agg(F.min("capacity_tokens")).first()[0]
     docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     sizes = cut_lineage(docs.select(F.col("doc_id").alias("item_id"), token_count("text", vocabulary).alias("size")))
+    if capacity is None:
+        return pack(sizes.limit(0), 1), 1
     return pack(sizes, capacity), capacity
 
 

@@ -56,19 +56,20 @@ alguém veja bem
 _TLD = "com|net|org|info|biz|io|co|eu|de|fr|es|pt|uk|ru|cn|shop|online|site|xyz|example|test|invalid"
 _URL = rf"(?:https?://|www\.)[^\s<>\"')\]]+|\b(?:[\w-]+\.)+(?:{_TLD})\b(?![\w(.=])(?:/[^\s<>\"')\]]*)?"
 _LINK = re.compile(_URL, re.I)
-_MARKDOWN = re.compile(rf"!?\[([^\]\n]*)\]\(\s*(?:{_URL})\s*\)", re.I)
-_BBCODE = re.compile(r"\[url=?([^\]\s]*)\]|\[/url\]", re.I)
+_HINT = re.compile(rf"://|www\.|\.(?:{_TLD})\b", re.I)  # what any link holds
+_MARK = "\x01"
+_MARKDOWN = re.compile(rf"!?\[([^\]\n]*)\]\(\s*{_MARK}\s*\)")
+_BBCODE = re.compile(r"\[url=?([^\]]*)\]|\[/url\]", re.I)
 _ANCHOR = re.compile(r"<a\b[^<>]{0,2000}?href\s*=[^<>]{0,2000}>", re.I)
 _TAG = re.compile(r"<(br)?[^<>]{0,2000}>", re.I)
 _WORD = re.compile(r"[^\W\d_](?:[^\W_]|[@$])*|\d[^\W_]*[^\W\d_][^\W_]*")
-_CODE = re.compile(r"[(){}\[\]=$\\`]|<-|&gt;|::|->|# |\bSELECT\b|--\w|\s[<>]=?\s*\d|\breturn\b|\w[_.]\w+\(")
+_CODE = re.compile(r"[(){}\[\]=$\\`]|<-|&gt;|::|->|# |\bSELECT\b|--\w|\s[<>]=?\s*\d|\breturn\b")
 _LOG = re.compile(r"\b\d\d:\d\d:\d\d\b|\b(?:DEBUG|INFO|WARN|WARNING|ERROR|TRACE|FATAL)\b")
 _PRODUCT = re.compile(r"\bsku\W?\d|\bref\.? ?\d|\bart\.? ?\d|\b\d+-pack\b|-\d+%|[.,]99\b", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _HASHTAG = re.compile(r"#(?=\w)")
 _DIGIT = re.compile(r"\d")
 _DASH = re.compile(r"\s[-–]\s")
-_MARK = "\x01"
 
 
 def _is_prose(words: list[str], text: str) -> bool:
@@ -86,11 +87,16 @@ def list_density(text: str | None) -> tuple[float, int, int]:
     """Share of a page's characters in bare links and strung-together words; bare links; bare words."""
     if not text or not text.strip():
         return 0.0, 0, 0
-    link_chars = sum(len(m.group(0)) for m in _LINK.finditer(text))
-    s = _ANCHOR.sub(f" {_MARK} ", text.replace(_MARK, " "))
-    s = _MARKDOWN.sub(lambda m: f" {m.group(1)} {_MARK} ", s)
-    s = _BBCODE.sub(lambda m: f" {_MARK} " if m.group(1) else " ", s)
-    s = _TAG.sub(lambda m: "\n" if m.group(1) else " ", _LINK.sub(f" {_MARK} ", s))
+    s, link_chars = text.replace(_MARK, " "), 0
+    if _HINT.search(s):
+        whole = len(s)
+        s, n = _LINK.subn(_MARK, s)
+        link_chars = whole - len(s) + n
+        s = _MARKDOWN.sub(lambda m: f" {m.group(1)} {_MARK} ", s)
+    if "[" in s:
+        s = _BBCODE.sub(lambda m: f" {_MARK} " if m.group(1) else " ", s)
+    if "<" in s:
+        s = _TAG.sub(lambda m: "\n" if m.group(1) else " ", _ANCHOR.sub(f" {_MARK} ", s))
     links, bare_links, bare_words, bare, rest = s.count(_MARK), 0, 0, 0, 0
     for line in s.split("\n"):
         log = bool(_LOG.search(line))
