@@ -2,14 +2,14 @@
 
 Records are sorted by position within groups; a cell without usable value takes that of the nearest previous or next
 donor, with the donor's id and its distance. A group may hold a third of all rows: groups are cut into stretches of
-`width` positions, nearest donors are found inside each stretch, and for cells near its ends the first and last donors
+`width` positions, and single positions that hold very many rows by their ids; nearest donors are found inside each stretch, and for cells near its ends the first and last donors
 of other stretches of the group are carried over, one row a stretch. Cells of groups without any donor go on to the next,
 wider level.
 
 Defined results: the previous donor wins a tie in distance, and among rows at one position the id orders them. A null
 group value is a group of its own; a record without position has neither distance nor carried donors, and takes a
 donor only from records without position in its group or at a later level by the same rule. A cell stays without value
-only if no record of the table has one. Repeated rows (equal ids) are cells of their own. An empty table gives no cells.
+only if no record of the table has one. Repeated rows (equal ids) are cells of their own. An empty table gives no cells. Ids are whole numbers.
 Input columns other than those named are not read, so that extra columns cannot clash.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from betaloom.shared import cut_lineage
+from betaloom.shared import cut_lineage, sized
 
 
 @dataclass(frozen=True)
@@ -33,14 +33,40 @@ class Field:
     usable: Column
 
 
-def _stretch(pos: str, width: int) -> Column:
-    return F.floor(F.col(pos) / F.lit(width)).cast("long")
+#: A position with at least HOT_LEAST rows in a sample of HOT_SAMPLE of the table is cut by id into HOT_PARTS parts.
+#: The sample decides only how the work is split; every row takes part whatever it holds.
+HOT_SAMPLE, HOT_LEAST, HOT_PARTS = 0.001, 100, 64
+
+
+def _blocks(base: DataFrame, groups: Sequence[str], width: int) -> DataFrame:
+    """base with stretch, part_pos and part, whose order follows (pos, id) and whose groups fit in a task.
+
+    A stretch is one block, unless positions in it hold very many rows: then it is cut before and after each of these,
+    and they are cut by bounds of their ids.
+    """
+    d = base.withColumn("stretch", F.floor(F.col("pos") / F.lit(width)).cast("long"))
+    cuts = F.array(*[F.lit(i / HOT_PARTS) for i in range(1, HOT_PARTS)])
+    hot = d.filter("pos is not null").sample(HOT_SAMPLE, 1).groupBy(*groups, "stretch", "pos").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("id", cuts).alias("bounds"))
+    hot = cut_lineage(hot.filter(F.col("n") >= HOT_LEAST).groupBy(*groups, "stretch").agg(F.array_sort(F.collect_list(F.struct("pos", "bounds"))).alias("hot")))
+    if hot.isEmpty():
+        return d.withColumn("part_pos", F.lit(0).cast("long")).withColumn("part", F.lit(0))
+    h = sized(hot.select(*[F.col(k).alias(f"h_{k}") for k in [*groups, "stretch"]], "hot"))
+    cond = F.lit(True)
+    for k in [*groups, "stretch"]:
+        cond = cond & d[k].eqNullSafe(h[f"h_{k}"])
+    d = d.join(h, cond, "left")
+    last = F.try_element_at(F.filter(F.coalesce("hot", F.array().cast(hot.schema["hot"].dataType)), lambda x: x["pos"] <= F.col("pos")), F.lit(-1))
+    d = d.withColumn("last_hot", last)
+    inside = 1 + F.size(F.filter(F.col("last_hot.bounds"), lambda x: x < F.col("id")))
+    part = F.when(F.col("last_hot").isNull(), 0).when(F.col("last_hot.pos") == F.col("pos"), inside).otherwise(HOT_PARTS + 1)
+    return d.withColumn("part_pos", F.coalesce(F.col("last_hot.pos"), F.lit(-(2**63)))).withColumn("part", part).select(*base.columns, "stretch", "part_pos", "part")
 
 
 def _search(base: DataFrame, groups: Sequence[str], names: Sequence[str], width: int) -> DataFrame:
     """base: id, groups, pos, cell (bool: to be filled here) and a value per name. Cells with d_<name>: the nearest donor."""
-    keys = [*groups, "stretch"]
-    d = base.withColumn("stretch", _stretch("pos", width))
+    block = ["stretch", "part_pos", "part"]
+    keys = [*groups, *block]
+    d = _blocks(base, groups, width)
     fwd, bwd = W.partitionBy(*keys).orderBy("pos", "id"), W.partitionBy(*keys).orderBy(F.col("pos").desc_nulls_last(), F.col("id").desc_nulls_last())
     for n in names:
         donor = F.when(F.col(n).isNotNull(), F.struct(F.col("pos").alias("pos"), F.col("id").alias("id"), F.col(n).alias("value")))
@@ -53,8 +79,8 @@ def _search(base: DataFrame, groups: Sequence[str], names: Sequence[str], width:
         *[F.max(F.when(F.col("is_last"), F.col(f"p_{n}"))).alias(f"last_{n}") for n in names],
         *[F.max(F.when(F.col("is_first"), F.col(f"n_{n}"))).alias(f"first_{n}") for n in names],
     )
-    before = W.partitionBy(*groups).orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
-    after = W.partitionBy(*groups).orderBy(F.col("stretch").desc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(*groups).orderBy(*block).rowsBetween(W.unboundedPreceding, -1)
+    after = W.partitionBy(*groups).orderBy(*[F.col(b).desc_nulls_last() for b in block]).rowsBetween(W.unboundedPreceding, -1)
     # the null stretch (no position) neither gives to nor takes from the others
     placed = F.col("stretch").isNotNull()
     carried = ends.select(

@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from betaloom.operators import hotdeck
 from betaloom.operators.hotdeck import Field, fill, hot_deck
 
 SCHEMA = "rid long, grp string, pos long, val double, extra string, level string, value string, id string"
@@ -34,6 +35,16 @@ def test_equals_brute_force_over_stretches(spark):
         assert cells(spark, rows, width)[2] == brute(rows)
 
 
+def test_positions_with_very_many_rows_are_cut_by_id(spark, monkeypatch):
+    for k, v in (("HOT_SAMPLE", 1.0), ("HOT_LEAST", 15), ("HOT_PARTS", 4)):
+        monkeypatch.setattr(hotdeck, k, v)
+    rnd = random.Random(4)
+    rows = [(i, rnd.choice("ab"), rnd.choice([3, 3, 3, 3, 9, 20, 20, 20, *range(30)]), None if rnd.random() < 0.5 else float(rnd.randrange(9))) for i in range(400)]
+    rows += [(1000 + i, "c", 5, 1.0 if i == 57 else None) for i in range(100)]  # a single donor among a hundred
+    for width in (7, 1000):
+        assert cells(spark, rows, width)[2] == brute(rows)
+
+
 def test_levels_and_no_donor(spark):
     rows = [(1, "a", 10, None), (2, "b", 14, 3.0), (3, "b", 7, 4.0)]
     assert cells(spark, rows, 5)[2] == [(1, "4.0", 3, 3, "any")]
