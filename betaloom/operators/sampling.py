@@ -29,16 +29,15 @@ def stratified(df: DataFrame, strata: Sequence[str], key: Column, most: int, see
 
 def split(df: DataFrame, key: Column, share: float, seed: str) -> DataFrame:
     """`part` head for the first round(n * share) rows in hash order (ties to even), tail for the rest."""
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    r = hash_rank(df, [], key, seed, "_rn").join(n, F.lit(True))
-    return r.withColumn("part", F.when(F.col("_rn") <= F.bround(F.col("_n") * share), "head").otherwise("tail")).drop("_rn", "_n")
+    head = round(df.count() * share)
+    return hash_rank(df, [], key, seed, "_rn").withColumn("part", F.when(F.col("_rn") <= head, "head").otherwise("tail")).drop("_rn")
 
 
 def folds(df: DataFrame, key: Column, k: int, seed: str) -> DataFrame:
     """`fold` 0..k-1 of n div k rows each in hash order; rows beyond k equal folds are left out; fewer than k rows give none."""
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    r = hash_rank(df, [], key, seed, "_rn").join(n, F.lit(True)).filter(F.col("_n") >= k)
-    return r.withColumn("fold", F.expr(f"cast((_rn - 1) div (_n div {k}) as int)")).filter(F.col("fold") < k).drop("_rn", "_n")
+    size = df.count() // k
+    r = hash_rank(df, [], key, seed, "_rn").filter(F.col("_rn") <= size * k)
+    return r.withColumn("fold", F.expr(f"cast((_rn - 1) div {max(size, 1)} as int)")).drop("_rn")
 
 
 def fold_selection(folded: DataFrame, validate: Sequence[int]) -> DataFrame:
