@@ -12,7 +12,7 @@ meets in one task, and totals miss their target by a few records a source. Recor
 their source is to give (some hundreds at most) walk first, and the probability of the others makes up for the outcome.
 
 Defined results: sources are compared trimmed and without case; records without source count to the total only; a source
-without target is not mixed; a target without records is short (unless its share is 0 or null); a null cap means no
+without target is not mixed; records are told apart by `rec`, which is unique; a target without records is short (unless its share is 0 or null); a null cap means no
 cap; records of size 0 may be drawn like others; an empty table gives an empty mix and no units.
 """
 
@@ -97,9 +97,8 @@ def cube_sample(df: DataFrame, block: int = BLOCK, seed: int = 5) -> DataFrame:
 def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """Per target: source, share, cap, size, all units, units wanted, whole repeats, probability of one more, and whether it is short."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("records"))
-    every = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("all_units"))
-    # one row of totals beside each target
-    d = targets.join(every, F.lit(True)).join(per, "source", "left").withColumn("size", F.coalesce("size", F.lit(0))).withColumn("records", F.coalesce("records", F.lit(0)))
+    every = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    d = targets.withColumn("all_units", F.lit(every)).join(per, "source", "left").withColumn("size", F.coalesce("size", F.lit(0))).withColumn("records", F.coalesce("records", F.lit(0)))
     want = F.coalesce(F.col("target_share"), F.lit(0.0)) * F.col("all_units")
     cap = F.coalesce(F.col("max_repeats").cast("double"), F.lit(float("inf")))
     times = F.when(F.col("size") > 0, F.least(F.col("want") / F.col("size"), cap)).otherwise(0.0)
@@ -125,8 +124,8 @@ def mix(sizes: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     drawn = first.unionByName(second).select("source", "rec", F.col("pi").cast("long").alias("more"), F.col("size").cast("long").alias("size"))
     out = cut_lineage(drawn.join(sized(p.select("source", "whole")), "source").select("rec", "source", "size", (F.col("whole") + F.col("more")).alias("copies")).filter("copies > 0"))
     reached = out.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("mixed_units"), F.max("copies").alias("most_copies"))
-    total = reached.agg(F.sum("mixed_units").alias("mix_units"))
-    report = p.join(reached, "source", "left").join(total, F.lit(True), "left").select(
+    total = reached.agg(F.coalesce(F.sum("mixed_units"), F.lit(0))).first()[0]
+    report = p.join(reached, "source", "left").withColumn("mix_units", F.lit(total)).select(
         F.col("name").alias("source"),
         "target_share",
         "max_repeats",
