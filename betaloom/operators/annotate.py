@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from betaloom.functions import sequence as sq
-from betaloom.operators.checks import assert_unique
-from betaloom.shared import cut_lineage
 from betaloom.vocab import CPG, LOCATIONS, TRACKS
 
 SITE = ["chrom", "start", "stop"]
@@ -56,12 +55,28 @@ def sequence_features(seqs: DataFrame, seq: str = "seq") -> DataFrame:
     )
 
 
+def _raise_unless(ok: Column, what: str) -> Column:
+    """A filter that keeps every row, and ends the job at the first where `ok` does not hold."""
+    return F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit(f"{what}: {SITE} not unique")).cast("boolean"))
+
+
+def _one_a_site(df: DataFrame, what: str) -> DataFrame:
+    """Distinct rows of df, of which a site may have one. One shuffle on the site serves this and the join that follows."""
+    rest = [c for c in df.columns if c not in SITE]
+    if not rest:
+        return df.distinct()
+    d = df.groupBy(*SITE).agg(F.collect_set(F.struct(*rest)).alias("_rows")).filter(_raise_unless(F.size("_rows") == 1, what))
+    return d.select(*SITE, F.col("_rows")[0].alias("_row")).select(*SITE, "_row.*")
+
+
 def annotate(sites: DataFrame, features: DataFrame, summary: DataFrame, validate: bool = True) -> DataFrame:
-    """Left joins of a site set with its sequence features and overlap summary, one to one; raises on repeated keys."""
-    f, s = features.distinct(), summary.distinct()
-    if validate:
-        sites, f, s = cut_lineage(sites), cut_lineage(f), cut_lineage(s)  # checked, then joined
-        assert_unique(sites, SITE, "sites")
-        assert_unique(f, SITE, "sequence features")
-        assert_unique(s, SITE, "overlap summary")
-    return sites.join(f, SITE, "left").join(s, SITE, "left")
+    """Left joins of a site set with its sequence features and overlap summary, one to one.
+
+    Where validate is set, repeated sites, and sites with several differing rows in features or summary, end the job that
+    reads the result: the check is part of the join's own pass, so that nothing is read or shuffled twice for it.
+    """
+    if not validate:
+        return sites.join(features.distinct(), SITE, "left").join(summary.distinct(), SITE, "left")
+    once = F.count(F.lit(1)).over(W.partitionBy(*SITE))
+    s = sites.withColumn("_n", once).filter(_raise_unless(F.col("_n") == 1, "sites")).drop("_n")
+    return s.join(_one_a_site(features, "sequence features"), SITE, "left").join(_one_a_site(summary, "overlap summary"), SITE, "left")

@@ -1,8 +1,8 @@
 """Distribution statistics per group and column, all from one table of value counts.
 
 Rows are counted per (group, column, value) with partial aggregation, and every statistic is taken from these counts, so
-that a sample that holds a third of all rows costs as much to finish as its distinct values. Group columns must not be
-null. Nulls and NaN are left out; a group without values has no row; an empty table gives no rows.
+that a sample that holds a third of all rows costs as much to finish as its distinct values, and these are ranked in
+blocks of values of like size. Group columns must not be null. Nulls and NaN are left out; a group without values has no row; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -12,16 +12,17 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from betaloom.shared import ship
+from betaloom.shared import blocked_cumsum, ship
 from betaloom.vocab import BETA_STATS, DEPTH_STATS
 
 ship(__name__)
 
 KEYS = ["fname", "info_col"]
 PERCENTS = list(range(1, 100))
+#: Cells of a group's range that a density is taken from.
+KDE_CELLS = 65_536
 
 
 def counts(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
@@ -31,10 +32,18 @@ def counts(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
     return d.filter("value is not null and not isnan(value)").groupBy(*KEYS, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _cells(c: DataFrame, cells: int) -> DataFrame:
+    """c with `total` rows of its group and the `cell` of each value, 0 to cells - 1 from the least to the greatest."""
+    ends = c.groupBy(*KEYS).agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("total"))
+    width = F.col("hi") - F.col("lo")
+    cell = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / F.when(width > 0, width) * cells), F.lit(cells - 1))).otherwise(0)
+    return c.join(ends, KEYS).select(*KEYS, "value", "n", "total", cell.alias("cell"))
+
+
 def percentiles(c: DataFrame, percents: Sequence[float] = PERCENTS) -> DataFrame:
-    """(fname, info_col, pct, value), linear interpolation between order statistics."""
-    w = W.partitionBy(*KEYS)
-    d = c.withColumn("upto", F.sum("n").over(w.orderBy("value").rowsBetween(W.unboundedPreceding, 0))).withColumn("total", F.sum("n").over(w))
+    """(fname, info_col, pct, value), linear interpolation between order statistics; ranks come from blocks of values of like size."""
+    block = F.floor(F.greatest(F.least(F.signum("value") * F.log1p(F.abs("value")), F.lit(800.0)), F.lit(-800.0)) * 64).cast("int")
+    d = blocked_cumsum(c, KEYS, "value", "n", block, "upto", total="total")
     d = d.select("*", F.explode(F.array(*[F.lit(float(p)) for p in percents])).alias("pct"))
     h = (F.col("total") - 1) * F.col("pct") / 100
     d = d.withColumn("h", h).withColumn("k", F.floor("h")).withColumn("j", F.least(F.floor("h") + 1, F.col("total") - 1))
@@ -79,10 +88,7 @@ def iqr(c: DataFrame) -> DataFrame:
 
 def histogram_entropy(c: DataFrame, bins: int = 20) -> DataFrame:
     """Entropy in bits of `bins` equal bins over [min, max], the last closed; 0 where all values are equal."""
-    ends = c.groupBy(*KEYS).agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("total"))
-    width = F.col("hi") - F.col("lo")
-    b = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / F.when(width > 0, width) * bins), F.lit(bins - 1))).otherwise(0)
-    h = c.join(ends, KEYS).groupBy(*KEYS, b.alias("b")).agg(F.sum("n").alias("n"), F.first("total").alias("total"))
+    h = _cells(c, bins).groupBy(*KEYS, "cell").agg(F.sum("n").alias("n"), F.first("total").alias("total"))
     share = F.col("n") / F.col("total")
     return h.groupBy(*KEYS).agg((-F.sum(share * F.log2(share)) + 0.0).alias("entropy"))
 
@@ -137,7 +143,11 @@ def density_peaks(values: np.ndarray, n: np.ndarray, kind: str, most: int = 5, g
 
 
 def kde_peaks(c: DataFrame, most: int = 5) -> DataFrame:
-    """(fname, info_col, peak_num, peak1..): missing peaks, and a peak at exactly 0, are -1 in padded form."""
+    """(fname, info_col, peak_num, peak1..): missing peaks, and a peak at exactly 0, are -1 in padded form.
+
+    Values that share one of KDE_CELLS equal cells of their group's range enter as their mean, so that no group grows
+    with its distinct values; a cell is far narrower than any bandwidth the density can show.
+    """
     names = ", ".join(f"peak{i} double" for i in range(1, most + 1))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -146,7 +156,8 @@ def kde_peaks(c: DataFrame, most: int = 5) -> DataFrame:
         at = [p if p else -1.0 for p in at] + [-1.0] * (most - len(at))
         return pd.DataFrame([[pdf["fname"].iloc[0], pdf["info_col"].iloc[0], float(k), *at]], columns=[*KEYS, "peak_num", *[f"peak{i}" for i in range(1, most + 1)]])
 
-    return c.groupBy(*KEYS).applyInPandas(run, f"fname string, info_col string, peak_num double, {names}")
+    d = _cells(c, KDE_CELLS).groupBy(*KEYS, "cell").agg((F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("value"), F.sum("n").alias("n"))
+    return d.select(*KEYS, "value", "n").groupBy(*KEYS).applyInPandas(run, f"fname string, info_col string, peak_num double, {names}")
 
 
 def full_table(c: DataFrame, method: DataFrame, most: int = 5) -> DataFrame:

@@ -60,37 +60,40 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
-def blocked_rank(df: DataFrame, keys: Sequence[str], hash_col: str, tie: Sequence[str], out: str = "rank", blocks: int = 1024, span: tuple[float, float] = (-(2.0**63), 2.0**63)) -> DataFrame:
+def blocked_rank(df: DataFrame, keys: Sequence[str], hash_col: str, tie: Sequence[str], out: str = "rank", blocks: int = 4096, span: tuple[float, float] = (-(2.0**63), 2.0**63)) -> DataFrame:
     """1-based rank of each row within `keys` by (hash_col, tie), without a group in one task.
 
     hash_col is a whole number spread evenly over `span`, by default a 64-bit hash. Each group is cut by its leading bits into `blocks` blocks; rows are ranked
     inside (keys, block) and the counts of earlier blocks are added. Only the block counts, at most `blocks` rows a
     group, meet in one window partition. Null keys form groups of their own. An empty table gives an empty table.
+
+    Keys travel as one struct, in which nulls are equal, so that ranking and the join with block counts share one
+    partitioning and rows are shuffled once.
     """
     keys = list(keys)
     block = F.floor((F.col(hash_col) - F.lit(span[0])) / F.lit(span[1] - span[0]) * F.lit(blocks)).cast("int")
     d = df.withColumn("_blk", F.least(F.greatest(block, F.lit(0)), F.lit(blocks - 1)))
-    sizes = d.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    before = W.partitionBy(*keys).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.select(*keys, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = W.partitionBy(*keys, "_blk").orderBy(hash_col, *tie)
-    ranked = d.withColumn("_in", F.row_number().over(inside))
-    s = sizes.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_blk").alias("_k_blk"), "_before")
-    cond = ranked["_blk"] == s["_k_blk"]
-    for k in keys:
-        cond = cond & ranked[k].eqNullSafe(s[f"_k_{k}"])
-    return ranked.join(s, cond).withColumn(out, F.col("_in") + F.col("_before")).drop("_blk", "_in", "_before", "_k_blk", *[f"_k_{k}" for k in keys])
-
-
-def blocked_cumsum(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str, block: Column, out: str) -> DataFrame:
+    group = []
+    if keys:
+        group, d = ["_key"], d.withColumn("_key", F.struct(*keys)).drop(*keys)
+    sizes = d.groupBy(*group, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy(*group).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.select(*group, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = W.partitionBy(*group, "_blk").orderBy(hash_col, *[t for t in tie if t not in keys])
+    ranked = d.withColumn("_in", F.row_number().over(inside)).join(sizes, [*group, "_blk"])
+    return ranked.select(*[F.col("_key")[c].alias(c) if c in keys else F.col(c) for c in df.columns], (F.col("_in") + F.col("_before")).alias(out))
+
+
+def blocked_cumsum(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str, block: Column, out: str, total: str | None = None) -> DataFrame:
     """Running sum of value_col within keys by order_col, two-level: inside blocks, plus the totals of earlier blocks.
 
-    `block` must not decrease as order_col grows. Keys must not be null.
+    `block` must not decrease as order_col grows. Keys must not be null. `total` names a column for the sum over all blocks.
     """
     keys = list(keys)
     d = df.withColumn("_blk", block)
     totals = d.groupBy(*keys, "_blk").agg(F.sum(value_col).alias("_t"))
     before = W.partitionBy(*keys).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
-    totals = totals.select(*keys, "_blk", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"))
+    every = [F.sum("_t").over(W.partitionBy(*keys)).alias(total)] if total else []
+    totals = totals.select(*keys, "_blk", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"), *every)
     inside = W.partitionBy(*keys, "_blk").orderBy(order_col).rowsBetween(W.unboundedPreceding, 0)
     return d.withColumn("_in", F.sum(value_col).over(inside)).join(totals, [*keys, "_blk"]).withColumn(out, F.col("_in") + F.col("_before")).drop("_blk", "_in", "_before")

@@ -80,8 +80,13 @@ def test_overlap_priorities_and_uniqueness(spark):
     sites = spark.createDataFrame([("c", 1, 2), ("c", 99, 100)], "chrom string, start long, stop long")
     feats = spark.createDataFrame([("c", 1, 2, "+"), ("c", 1, 2, "+")], "chrom string, start long, stop long, strand string")
     assert {r["start"]: r["location"] for r in annotate(sites, feats, s).collect()} == {1: "intron", 99: None}
-    with pytest.raises(ValueError, match="not unique"):
-        annotate(sites.unionByName(sites), feats, s)
+    with pytest.raises(Exception, match="sites.*not unique"):
+        annotate(sites.unionByName(sites), feats, s).collect()
+    with pytest.raises(Exception, match="features.*not unique"):
+        annotate(sites, feats.union(spark.createDataFrame([("c", 1, 2, None)], feats.schema)), s).collect()
+    with pytest.raises(Exception, match="summary.*not unique"):
+        annotate(sites, feats, s.unionByName(s.withColumn("location", F.lit("cds")))).write.format("noop").mode("overwrite").save()
+    assert annotate(sites.limit(0), feats, s).count() == 0
     with pytest.raises(ValueError, match="not unique"):
         assert_unique(feats, ["chrom"], "x")
     with pytest.raises(ValueError, match="not found"):
