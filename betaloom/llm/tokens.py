@@ -21,10 +21,14 @@ def token_count(text: str, vocabulary: str = VOCABULARY) -> Column:
     @F.pandas_udf("long")
     def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import tiktoken
-
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        enc = tiktoken.Encoding("sizes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        from tiktoken import registry
+
+        # a worker process serves many tasks: what it has loaded stays in the library's own table of encodings
+        enc = registry.ENCODINGS.get(f"sizes:{vocabulary}")
+        if enc is None:
+            with open(vocabulary, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            enc = registry.ENCODINGS[f"sizes:{vocabulary}"] = tiktoken.Encoding("sizes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for s in parts:
             yield s.map(lambda t: len(enc.encode_ordinary(t)) if t else 0).astype("int64")
 
