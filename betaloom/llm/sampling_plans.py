@@ -37,8 +37,16 @@ def _draw(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return draw(_candidates(spark, d), _targets(spark, d).select("draw_id", "category", "target_share", "draw_size", "min_rows"), SITE)
 
 
+def _drawn(spark: SparkSession, d: str) -> DataFrame:
+    """The report of each draw and bin, with the rows counted on the drawn sample."""
+    sample, report = _draw(spark, d)
+    drawn = sample.groupBy("draw_id", "category").agg(F.count(F.lit(1)).alias("drawn"))
+    return report.join(drawn, ["draw_id", "category"], "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return _draw(spark, d)[1].filter("short").select("draw_id", F.col("category").alias("beta_bin"))
+    """Bins of which the drawn sample, repairs included, holds fewer rows than needed."""
+    return _drawn(spark, d).filter("drawn < need").select("draw_id", F.col("category").alias("beta_bin"))
 
 
 def p3_sample(spark: SparkSession, d: str) -> DataFrame:
@@ -47,9 +55,7 @@ def p3_sample(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_report(spark: SparkSession, d: str) -> DataFrame:
     """Target, need, candidates and rows taken per draw and bin, counted on the drawn sample."""
-    sample, report = _draw(spark, d)
-    drawn = sample.groupBy("draw_id", "category").agg(F.count(F.lit(1)).alias("drawn"))
-    return report.join(drawn, ["draw_id", "category"], "left").select("draw_id", F.col("category").alias("beta_bin"), "need", "available", F.coalesce("drawn", F.lit(0)).alias("drawn"), "short")
+    return _drawn(spark, d).select("draw_id", F.col("category").alias("beta_bin"), "need", "available", "drawn", "short")
 
 
 def p3_available(spark: SparkSession, d: str) -> DataFrame:
