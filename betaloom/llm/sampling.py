@@ -61,6 +61,7 @@ def draw(candidates: DataFrame, targets: DataFrame, key_cols: Sequence[str], see
     sample has the candidates taken, with `pi` and `repaired`; report has every target with its need, the candidates
     there are, the rows taken and whether its need can be met.
     """
+    candidates = cut_lineage(candidates)  # counted, then ranked
     plan = cut_lineage(_plan(available(candidates, targets), seed))
     c = candidates.withColumn("_h", F.xxhash64(F.lit(seed), "draw_id", *key_cols))
     r = blocked_rank(c, ["draw_id", "category"], "_h", list(key_cols), "_r")
