@@ -1,18 +1,22 @@
 """Pages made of repeated keywords, bare link lists or product tags rather than sentences.
 
-Two kinds of evidence are joined. Phrase evidence: the five-word shingles of all pages are exploded, distinct hosts are
-counted for each, and a page's stitched share is the part of its shingles that also stand on another host or again on the
-page itself. List-density evidence: the part of a page's characters that lies in bare links or in words strung together
-without sentences, code, logs or tables around them. A page is flagged if most of it is list-like, or if less of it is
-but nearly all of its phrases are replicated.
+Two kinds of evidence are taken of every page and joined. Phrase evidence: the five-word shingles of all pages are counted
+per page and then looked up among those that stand on several hosts; a page's stitched share is the part of its shingles
+that also stand on another host or again on the page itself, its repeated share the part that repeats earlier ones.
+List-density evidence: the part of a page's characters that lies in bare links or in words strung together without
+sentences, code, logs or tables around them; the loose share is the same without a least number of links or words. A page is
+flagged if most of it is list-like; if less of it is, or nearly all by the loose share, and nearly all of its phrases are
+replicated; or if nearly all of its phrases are replicated, most of them from the page itself, and it is not mainly code,
+logs or tables.
+Replication on other hosts alone is no verdict, as copies of genuine posts have it.
 
 A phrase has two or more hosts if the least and the greatest host differ, which partial aggregation settles before the
-shuffle. Hosts are counted over the phrases of all pages; only pages that are list-like to some degree (few) are looked up
-among them.
+shuffle. A page's shingles are counted inside its row, so only those that it holds once are looked up.
 
 Defined results: null and empty texts have no evidence and are not flagged; a page without host is a host of its own;
-rows that share an id are one page, with the
-greatest density of its rows and the shingles of all; texts of any length are read whole; an empty table gives no rows.
+rows that share an id are one page, with
+the greatest evidence of its rows, so that a second delivery is no repetition; a page of fewer than five words has no shares of
+phrases (null); texts of any length are read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from betaloom.shared import cut_lineage, ship
+from betaloom.shared import cut_lineage, ship, sized
 
 ship(__name__)
 
@@ -33,6 +37,8 @@ FEW_LINKS = 6  # bare links from which a page counts as a link list
 FEW_WORDS = 20  # bare words from which they count as strung together
 MOSTLY = 0.5  # list-like share that flags a page by itself
 PARTLY, STITCHED = 0.25, 0.8  # list-like and stitched share that flag it together
+NEARLY = 0.8  # loosely list-like share that flags a stitched page with too few links and words for list density
+REPEATED, TECHNICAL = 0.6, 0.5  # repeated share that flags a stitched page, unless so much of it is code, logs or tables
 
 # --- fixed values: common function words of the five languages -----------------------------------------------------------
 FUNCTION_WORDS = frozenset(
@@ -83,10 +89,10 @@ def _is_technical(text: str, chars: int) -> bool:
     return bool(_CODE.search(_DASH.sub(" ", text))) or (text.count("|") >= 2 and digits > 0) or text.count("\t") > 1 or (digits > 0.3 * chars and not _PRODUCT.search(text))
 
 
-def list_density(text: str | None) -> tuple[float, int, int]:
-    """Share of a page's characters in bare links and strung-together words; bare links; bare words."""
+def list_density(text: str | None) -> tuple[float, int, int, float]:
+    """Share of a page's characters in bare links and strung-together words; bare links; bare words; the share however few they are."""
     if not text or not text.strip():
-        return 0.0, 0, 0
+        return 0.0, 0, 0, 0.0
     s, link_chars = text.replace(_MARK, " "), 0
     if _HINT.search(s):
         whole = len(s)
@@ -112,16 +118,16 @@ def list_density(text: str | None) -> tuple[float, int, int]:
                 bare_links += part.count(_MARK)
                 bare_words += len(words)
                 bare += chars
-    linked = bare_links >= FEW_LINKS
-    mass = (link_chars * bare_links / links if linked else 0.0) + (bare if linked or bare_words >= FEW_WORDS else 0)
-    return mass / max(link_chars + bare + rest, 1), bare_links, bare_words
+    linked, in_links, whole = bare_links >= FEW_LINKS, link_chars * bare_links / max(links, 1), max(link_chars + bare + rest, 1)
+    mass = (in_links if linked else 0.0) + (bare if linked or bare_words >= FEW_WORDS else 0)
+    return mass / whole, bare_links, bare_words, (in_links + bare) / whole
 
 
 def _density(text: str) -> Column:
-    @F.pandas_udf("density double, bare_links int, bare_words int")
+    @F.pandas_udf("density double, bare_links int, bare_words int, loose double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in parts:
-            yield pd.DataFrame([list_density(t) for t in s], columns=["density", "bare_links", "bare_words"])
+            yield pd.DataFrame([list_density(t) for t in s], columns=["density", "bare_links", "bare_words", "loose"])
 
     return run(F.col(text))
 
@@ -141,22 +147,47 @@ def shingles(words: str, n: int = WORDS) -> Column:
     return F.transform(runs, lambda z: F.xxhash64(z))
 
 
+def technical_share(text: Column) -> Column:
+    """Share of a text's characters in lines of code, logs or tables."""
+    marks = "|".join(f"(?:{x})" for x in (_CODE.pattern, _LOG.pattern, r"\|.*\|", r"\t.*\t"))
+    chars = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + F.length(x))
+    lines = F.split(text, "\n")
+    return chars(F.filter(lines, lambda x: x.rlike(marks))) / F.greatest(chars(lines), F.lit(1))
+
+
+def _once_and_again(sorted_shingles: str) -> tuple[Column, Column]:
+    """Shingles that a sorted list holds once, and those that it holds several times, each taken once."""
+    s = F.col(sorted_shingles)
+    runs = F.arrays_zip(s.alias("x"), F.slice(s, 2, F.size(s)).alias("after"), F.concat(F.array(F.lit(None).cast("long")), s).alias("before"))
+    first = lambda z: z["x"].isNotNull() & ~z["x"].eqNullSafe(z["before"])
+    twice = lambda z: z["x"].eqNullSafe(z["after"])
+    return F.transform(F.filter(runs, lambda z: first(z) & ~twice(z)), lambda z: z["x"]), F.transform(F.filter(runs, lambda z: first(z) & twice(z)), lambda z: z["x"])
+
+
 def pages(docs: DataFrame, id_col: str, host_col: str, text_col: str) -> DataFrame:
-    """Evidence and verdict of every page: id, density, bare_links, bare_words, stitched (of list-like pages), flagged.
+    """Evidence and verdict of every page: id, density, bare_links, bare_words, loose, stitched, repeated, technical, flagged.
 
-    Texts are never shuffled: one pass takes list density, and the shingles of list-like pages along with it; another
-    counts the hosts of all shingles.
+    stitched and repeated are null for pages of fewer than five words, technical where nothing depends on it. Texts are read
+    once and never shuffled: one pass takes list density and counted shingles.
     """
     host = F.when(F.col(host_col).isNotNull(), F.xxhash64(F.col(host_col))).otherwise(F.xxhash64(F.lit("page"), F.col(id_col)))
     d = docs.select(F.col(id_col).alias("id"), host.alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    e = d.select("id", "text", _density("text").alias("e"))
-    # a separate column of word hashes, so that texts are split once
-    e = e.select("id", "e.*", F.when(F.col("e.density") >= PARTLY, word_hashes(F.col("text"))).alias("w"))
-    e = cut_lineage(e.select("*", F.when(F.col("w").isNotNull(), shingles("w")).alias("shingles")).drop("w"))
-    seen = e.groupBy("id").agg(F.max("density").alias("density"), F.max("bare_links").alias("bare_links"), F.max("bare_words").alias("bare_words"))
-    hosts = d.select("host", word_hashes(F.col("text")).alias("w")).select("host", F.explode(shingles("w")).alias("sh")).groupBy("sh").agg(F.min("host").alias("lo"), F.max("host").alias("hi"))
-    spread = hosts.filter("lo <> hi").select("sh", F.lit(True).alias("elsewhere"))
-    mine = e.filter("shingles is not null").select("id", F.explode("shingles").alias("sh")).groupBy("id", "sh").agg(F.count(F.lit(1)).alias("n"))
-    share = mine.join(spread, "sh", "left").groupBy("id").agg((F.sum(F.when(F.col("elsewhere") | (F.col("n") > 1), F.col("n")).otherwise(0)) / F.sum("n")).alias("stitched"))
-    out = seen.join(share, "id", "left").withColumn("stitched", F.coalesce("stitched", F.lit(0.0)))
-    return out.withColumn("flagged", (F.col("density") > MOSTLY) | ((F.col("density") >= PARTLY) & (F.col("stitched") >= STITCHED)))
+    e = d.select("id", "host", "text", _density("text").alias("e"))
+    # separate columns of word hashes and of sorted shingles, so that texts are split once
+    e = e.select("id", "host", "text", "e.*", word_hashes(F.col("text")).alias("w"))
+    e = e.withColumn("s", F.sort_array(shingles("w"))).drop("w")
+    once, again = _once_and_again("s")
+    e = e.withColumns({"once": once, "again": again, "n": F.size("s")}).drop("s")
+    e = e.withColumn("repeated", F.when(F.col("n") > 0, 1 - (F.size("once") + F.size("again")) / F.col("n")))
+    e = e.withColumn("technical", F.when(F.col("repeated") >= REPEATED, technical_share(F.col("text")))).drop("text")
+    e = cut_lineage(e.withColumn("row", F.monotonically_increasing_id()))
+    hosts = e.select("host", F.explode(F.concat("once", "again")).alias("sh")).groupBy("sh").agg(F.min("host").alias("lo"), F.max("host").alias("hi"))
+    spread = cut_lineage(hosts.filter("lo <> hi").select("sh"))
+    elsewhere = e.select("row", F.explode("once").alias("sh")).join(sized(spread), "sh").groupBy("row").agg(F.count(F.lit(1)).alias("n_elsewhere"))
+    own = e.select("row", "id", "density", "bare_links", "bare_words", "loose", "repeated", "technical", "n", (F.col("n") - F.size("once")).alias("n_again"))
+    share = F.when(F.col("n") > 0, (F.col("n_again") + F.coalesce("n_elsewhere", F.lit(0))) / F.col("n"))
+    short = (F.col("loose") >= NEARLY) & (F.col("bare_links") + F.col("bare_words") >= WORDS)
+    joined = (F.col("density") >= PARTLY) | short | ((F.col("repeated") >= REPEATED) & (F.col("technical") < TECHNICAL))
+    flagged = (F.col("density") > MOSTLY) | F.coalesce((F.col("stitched") >= STITCHED) & joined, F.lit(False))
+    out = own.join(elsewhere, "row", "left").withColumn("stitched", share).withColumn("flagged", flagged)
+    return out.groupBy("id").agg(*[F.max(c).alias(c) for c in ("density", "bare_links", "bare_words", "loose", "stitched", "repeated", "technical", "flagged")])

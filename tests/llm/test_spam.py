@@ -46,3 +46,22 @@ def test_shingles_and_hosts(spark):
     d = spark.createDataFrame([("a b c d e f",), ("A, b; c d e",), ("a b",), ("",), (None,)], "t string")
     got = [r[0] for r in d.select(word_hashes(F.col("t")).alias("w")).select(shingles("w")).collect()]
     assert len(got[0]) == 2 and got[1][0] == got[0][0] and got[2] == [] and got[3] == []
+
+
+def test_phrases_bring_pages_in(spark):
+    stuffed = "buy the best shoes in the city for the best price of the year and " * 8  # prose by its function words
+    short = "cheap shoes best shoes order shoes sale"  # too few words for list density
+    code = "for x in table[1:]:\n    print(x)\n" * 20
+    copy = HAM[-1]
+    rows = [(1, 1, stuffed), (2, 2, short), (3, 3, short), (4, 4, copy), (5, 5, copy), (6, 6, code), (7, 7, "No."), (8, 8, "cheap boots best boots order boots sale"), (9, 9, HAM[-1] + " Twice."), (9, 9, HAM[-1] + " Twice.")]
+    got = {r["id"]: r for r in pages(spark.createDataFrame(rows, "id long, host long, text string"), "id", "host", "text").collect()}
+    assert {i for i, r in got.items() if r["flagged"]} == {1, 2, 3}
+    assert got[1]["density"] == got[2]["density"] == 0 and got[1]["stitched"] == got[2]["stitched"] == got[4]["stitched"] == 1
+    assert got[7]["stitched"] is None and got[8]["stitched"] == 0 and got[9]["repeated"] == 0
+
+
+def test_stitched_share_of_every_page(spark):
+    rows = [(1, 1, "a b c d e f g"), (2, 2, "x a b c d e y"), (3, 1, "c d e f g h"), (4, 3, "p q r s t p q r s t p q r s t"), (5, 4, None)]
+    got = {r["id"]: r["stitched"] for r in pages(spark.createDataFrame(rows, "id long, host long, text string"), "id", "host", "text").collect()}
+    # c d e f g stands twice, but with one host
+    assert got == {1: 1 / 3, 2: 1 / 3, 3: 0, 4: 1, 5: None}
