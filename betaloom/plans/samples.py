@@ -82,6 +82,11 @@ def latest_rows(spark: SparkSession, d: str) -> DataFrame:
     return _latest(spark, d).filter(F.col("beta").isNull() | ~F.isnan("beta"))
 
 
+def latest_rows_whole(spark: SparkSession, d: str) -> DataFrame:
+    """latest_rows with the sites whose latest beta is NaN, as null."""
+    return _latest(spark, d).withColumn("beta", F.nanvl("beta", F.lit(None).cast("double")))
+
+
 def _divided(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     a = table(spark, d, "annotation").select(*SITE, "strand", "gc_skew_70", "location", "cpg")
     m = table(spark, d, "sample_metadata").select("fname", "beta_q6", "depth_std")
@@ -103,14 +108,26 @@ def divide_high(spark: SparkSession, d: str) -> DataFrame:
     return _divided(spark, d)["high"].select(_DIVIDED)
 
 
-def merge_result(spark: SparkSession, d: str) -> DataFrame:
-    """Control rows, calibrated high rows and low rows with their own beta, beside counts and beta of the origin."""
+def _merged(spark: SparkSession, d: str, origin: DataFrame) -> DataFrame:
     keys = ["fname", *SITE]
-    origin = _latest(spark, d).filter(F.col("chrom").isNotNull())
+    origin = origin.filter(F.col("chrom").isNotNull())
     control = dv.divide(origin.withColumn("predicted_beta", clip_beta(F.col("beta"))))["control"]
     high = dv.latest(table(spark, d, "calibrated_high_depth").select(*keys, "row_id", F.nanvl("actual_beta", F.lit(None).cast("double")).alias("actual_beta")), keys, "row_id")
     low = dv.latest(table(spark, d, "low_depth").select(*keys, "row_id", F.nanvl("beta", F.lit(None).cast("double")).alias("actual_beta")), keys, "row_id")
-    return dv.merge(control, high, low, origin, keys).filter("predicted_beta is null or not isnan(predicted_beta)").select(*keys, "u", "m", "depth", "predicted_beta", "actual_beta")
+    return dv.merge(control, high, low, origin, keys)
+
+
+def merge_result(spark: SparkSession, d: str) -> DataFrame:
+    """Control rows, calibrated high rows and low rows with their own beta, beside counts and beta of the origin.
+
+    An origin beta that is NaN is clipped to 100, as the query's SQL has it; in merge_result_whole it is null.
+    """
+    return _merged(spark, d, _latest(spark, d)).filter("predicted_beta is null or not isnan(predicted_beta)")
+
+
+def merge_result_whole(spark: SparkSession, d: str) -> DataFrame:
+    """merge_result with every row of the three strata; an origin beta that is NaN is null."""
+    return _merged(spark, d, latest_rows_whole(spark, d))
 
 
 def _truth(spark: SparkSession, d: str) -> DataFrame:
@@ -181,7 +198,7 @@ def pinball_eval(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        describe_stats, percentiles, mad, iqr, histogram_entropy, kde_peaks, peak_padding, stats_merge, sample_statistics, latest_rows, divide_control, divide_low, divide_high, merge_result,
+        describe_stats, percentiles, mad, iqr, histogram_entropy, kde_peaks, peak_padding, stats_merge, sample_statistics, latest_rows, latest_rows_whole, divide_control, divide_low, divide_high, merge_result, merge_result_whole,
         presence_plan, occurrence, stratified_sample_bin, stratified_sample_bin_occ, gold_split, five_folds, fold_selection, dataset_build, rmse_eval, pinball_eval,
     )
 }

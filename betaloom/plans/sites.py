@@ -99,6 +99,11 @@ def clipped_beta(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "low_depth").filter(~F.isnan("beta") | F.col("beta").isNull()).select("row_id", clip_beta(F.col("beta")).alias("beta"))
 
 
+def clipped_beta_whole(spark: SparkSession, d: str) -> DataFrame:
+    """clipped_beta with the rows whose beta is NaN, as null."""
+    return table(spark, d, "low_depth").select("row_id", clip_beta(F.nanvl("beta", F.lit(None).cast("double"))).alias("beta"))
+
+
 def genome_tile_lookup(spark: SparkSession, d: str) -> DataFrame:
     """11-base contexts from genome tiles; tiles of the touched stretches are derived from their numbers."""
     at = flank(table(spark, d, "annotation").filter("start >= 5"), 5, 5).select("chrom", "start", "stop")
@@ -145,7 +150,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         sites_pileup, site_filter_distinct, site_union_distinct, file_whitelist, file_blacklist, flank_expand, seq_slices, base_counts, gc_features, strand_context, shannon_entropy, bwt_ratio,
-        reverse_complement, base_split, beta_bins, clipped_beta, genome_tile_lookup, overlaps, overlaps_stranded, overlap_summary, annotate_sites, context_betas,
+        reverse_complement, base_split, beta_bins, clipped_beta, clipped_beta_whole, genome_tile_lookup, overlaps, overlaps_stranded, overlap_summary, annotate_sites, context_betas,
     )
 }
 
