@@ -1,4 +1,4 @@
-"""Queries of the regression operators. Models are fitted on samples bounded per beta bin; scoring covers all rows."""
+"""Queries of the regression operators. Models are fitted on samples bounded per beta bin; scoring and evaluation cover all rows."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from betaloom.functions.sequence import neighbours
 from betaloom.functions.values import beta_bin
 from betaloom.operators import models as ml
 from betaloom.operators.sampling import stratified
-from betaloom.shared import cut_lineage
+from betaloom.shared import cut_lineage, sized
 from betaloom.sources.tables import table
 from betaloom.vocab import BASES
 
@@ -25,10 +25,18 @@ def _features(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
     return ml.prepare(rows.join(a, SITE, "left"), ROLES)
 
 
-def _train(spark: SparkSession, d: str) -> DataFrame:
+def _labelled(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "calibrated_high_depth").filter("predicted_beta is not null and actual_beta is not null and not isnan(predicted_beta) and not isnan(actual_beta)")
-    c = c.select("row_id", *SITE, "depth", "predicted_beta", "actual_beta", beta_bin(F.col("predicted_beta")).alias("beta_bin"))
-    return cut_lineage(_features(spark, d, stratified(c, ["beta_bin"], F.col("row_id"), PER_BIN, "_28")))
+    return c.select("row_id", *SITE, "depth", "predicted_beta", "actual_beta", beta_bin(F.col("predicted_beta")).alias("beta_bin"))
+
+
+def _train(spark: SparkSession, d: str) -> DataFrame:
+    return cut_lineage(_features(spark, d, stratified(_labelled(spark, d), ["beta_bin"], F.col("row_id"), PER_BIN, "_28")))
+
+
+def _unused(spark: SparkSession, d: str, fitted: DataFrame) -> DataFrame:
+    """All labelled rows that a model was not fitted on."""
+    return _features(spark, d, _labelled(spark, d).join(sized(fitted.select("row_id")), "row_id", "left_anti"))
 
 
 def feature_roles(spark: SparkSession, d: str) -> DataFrame:
@@ -52,14 +60,19 @@ def stacked_calibrate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def leaderboard(spark: SparkSession, d: str) -> DataFrame:
-    _, top, table_ = ml.stacked(_train(spark, d), ROLES, "actual_beta", "row_id", trees=5)
-    return ml.leaderboard(top.transform(table_), "actual_beta", ["boosted_trees", "random_forest", "linear", "ensemble", "predicted_beta"])
+    """Errors over all labelled rows: rows of the training sample by their out-of-fold predictions, the others by the fitted models."""
+    t = _train(spark, d)
+    models, top, table_ = ml.stacked(t, ROLES, "actual_beta", "row_id", trees=5)
+    names = [*models, "ensemble", "predicted_beta"]
+    scored = [top.transform(table_), ml.predict_stacked(_unused(spark, d, t), models, top)]
+    return ml.leaderboard(scored[0].select("actual_beta", *names).unionByName(scored[1].select("actual_beta", *names)), "actual_beta", names)
 
 
 def permutation_importance(spark: SparkSession, d: str) -> DataFrame:
-    t = _train(spark, d)
-    model = ml.median_model(t.filter(ml.part(F.col("row_id"), 5) != 0), ROLES, "actual_beta", trees=5, depth=4)
-    return ml.permutation_importance(model, t.filter(ml.part(F.col("row_id"), 5) == 0), "actual_beta", [*ROLES.numbers, "location", "cpg"], "row_id")
+    """Over all labelled rows but those the model is fitted on."""
+    fit = _train(spark, d).filter(ml.part(F.col("row_id"), 5) != 0)
+    model = ml.median_model(fit, ROLES, "actual_beta", trees=5, depth=4)
+    return ml.permutation_importance(model, _unused(spark, d, fit), "actual_beta", [*ROLES.numbers, "location", "cpg"], "row_id")
 
 
 def hpo_trials(spark: SparkSession, d: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from betaloom.plans import learning
 
 DATA = "/root/testdata/sf0.001"
 
@@ -22,3 +23,17 @@ def test_rows_with_nan_are_kept_as_null(spark):
     merged, as_sql = q["merge_result_whole"](spark, DATA), q["merge_result"](spark, DATA)
     assert merged.count() == as_sql.count()
     assert merged.join(unknown, keys).filter("predicted_beta is not null").count() == 0 < as_sql.join(unknown, keys).filter("predicted_beta is not null").count()
+
+
+def test_evaluation_covers_all_labelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(learning, "PER_BIN", 12)
+    labelled = spark.read.parquet(f"{DATA}/calibrated_high_depth.parquet").filter("predicted_beta is not null and actual_beta is not null and not isnan(predicted_beta) and not isnan(actual_beta)")
+    seen = {}
+    for name in ("leaderboard", "permutation_importance"):
+        f = getattr(learning.ml, name)
+        monkeypatch.setattr(learning.ml, name, lambda *a, f=f, name=name: seen.update({name: a[0 if name == "leaderboard" else 1]}) or f(*a))
+    got = {r["model"]: r["rmse"] for r in learning.leaderboard(spark, DATA).collect()}
+    raw = labelled.agg(F.sqrt(F.avg((F.col("actual_beta") - F.col("predicted_beta")) ** 2))).first()[0]
+    assert seen["leaderboard"].count() == labelled.count() and abs(got["predicted_beta"] - raw) < 1e-9
+    learning.permutation_importance(spark, DATA)
+    assert labelled.count() - 20 * 12 < seen["permutation_importance"].count() < labelled.count()
