@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from betaloom.functions.sequence import neighbours
 from betaloom.functions.values import lab, label, method, trusted_depth
 from betaloom.operators import divide as dv
 from betaloom.operators import models as ml
@@ -29,6 +30,13 @@ def _sites(rows: DataFrame) -> DataFrame:
     return rows.withColumnRenamed("end", "stop")
 
 
+def _model_input(rows: DataFrame) -> DataFrame:
+    """rows with the columns that models use; neighbours of the cytosine are taken from seq_5 where they are not there yet."""
+    if "seq_5" in rows.columns:
+        rows = rows.withColumns({k: c for k, c in neighbours(F.upper("seq_5")).items() if k not in rows.columns})
+    return ml.prepare(require_columns(rows, [*ROLES.numbers, *ROLES.categories, *ROLES.flags]), ROLES)
+
+
 def run_annotate(spark: SparkSession, a: argparse.Namespace) -> None:
     rows = pick_files(_sites(scan_parquet(spark, *a.input)), a.whitelist or ())
     sites = not_empty(rows.filter(F.col("chrom").isin(CONTIGS) & (F.col("depth") >= a.cutoff)).select(SITE).distinct(), "site set")
@@ -58,7 +66,7 @@ def run_divide(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def run_train(spark: SparkSession, a: argparse.Namespace) -> None:
-    data = ml.prepare(spark.read.parquet(*a.input), ROLES).filter("actual_beta is not null").withColumn("_key", F.xxhash64("chrom", "start", "lab"))
+    data = _model_input(spark.read.parquet(*a.input)).filter("actual_beta is not null").withColumn("_key", F.xxhash64("label", "chrom", "start", "lab"))
     models, top, table = ml.stacked(data, ROLES, "actual_beta", "_key")
     for name, m in {**models, "ensemble": top}.items():
         m.write().overwrite().save(f"{a.output}/{name}")
@@ -67,7 +75,7 @@ def run_train(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def run_calibrate(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = ml.prepare(pick_files(scan_parquet(spark, *a.input), a.whitelist or ()), ROLES)
+    rows = _model_input(pick_files(scan_parquet(spark, *a.input), a.whitelist or ()))
     names = list(ml.learners("actual_beta"))
     models = {n: PipelineModel.load(f"{a.model}/{n}") for n in names}
     out = ml.predict_stacked(rows, models, PipelineModel.load(f"{a.model}/ensemble"))
@@ -76,10 +84,10 @@ def run_calibrate(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def run_impute(spark: SparkSession, a: argparse.Namespace) -> None:
     high = sm.stratified(spark.read.parquet(a.high).withColumn("_bin", F.floor(F.col("predicted_beta") / 5)), ["_bin"], F.concat_ws(":", "chrom", "start"), a.per_bin, "_28")
-    train = ml.prepare(high, ROLES).withColumn("_key", F.xxhash64("chrom", "start"))
+    train = _model_input(high).withColumn("_key", F.xxhash64("chrom", "start"))
     best, trials = ml.search(train, ROLES, "actual_beta", "_key", a.trials)
     model = ml.median_model(train.withColumn("_held", ml.part(F.col("_key"), 5) == 0), ROLES, "actual_beta", valid="_held", **best)
-    low = ml.prepare(spark.read.parquet(a.low).drop("actual_beta"), ROLES)
+    low = _model_input(spark.read.parquet(a.low).drop("actual_beta"))
     write_parquet(model.transform(low).withColumnRenamed("prediction", "actual_beta").select(*SITE, "actual_beta"), a.output, a.on_exists)
     write_parquet(trials, f"{a.output}.trials", a.on_exists)
 
@@ -105,7 +113,10 @@ def run_plan(spark: SparkSession, a: argparse.Namespace) -> None:
 def run_sample(spark: SparkSession, a: argparse.Namespace) -> None:
     rows = _sites(scan_parquet(spark, *a.input)).withColumn("lab", lab(F.col("fname"))).withColumn("label", label(F.col("fname"))).withColumnRenamed("beta", "predicted_beta")
     meta = spark.read.parquet(a.metadata).withColumn("lab", lab(F.col("fname"))).withColumn("label", label(F.col("fname")))
-    write_parquet(sm.dataset(spark.read.parquet(*a.plan), a.labs.split(","), rows.select(*SITE, "label", "lab", "predicted_beta", "depth"), meta.drop("fname"), SITE), a.output, a.on_exists)
+    out = sm.dataset(spark.read.parquet(*a.plan), a.labs.split(","), rows.select(*SITE, "label", "lab", "predicted_beta", "depth"), meta.drop("fname"), SITE)
+    if a.annotation:
+        out = out.join(spark.read.parquet(a.annotation), SITE, "left")
+    write_parquet(out, a.output, a.on_exists)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -132,7 +143,7 @@ def parser() -> argparse.ArgumentParser:
     add("impute", run_impute, (("-hi", "--high"), need), (("-li", "--low"), need), (("-n", "--trials"), {"type": int, "default": 100}), (("--per-bin",), {"type": int, "default": 5000}))
     add("merge", run_merge, (("-oi", "--origin"), need), (("-ci", "--control"), need), (("-li", "--low"), need), (("-hi", "--high"), need))
     add("plan", run_plan, i, labs, (("-r", "--truth"), need), (("-n",), {"type": int, "default": 500}))
-    add("sample", run_sample, i, labs, (("-p", "--plan"), some), (("-m", "--metadata"), need))
+    add("sample", run_sample, i, labs, (("-p", "--plan"), some), (("-m", "--metadata"), need), (("-a", "--annotation"), {"help": "sequence features and overlaps, without which nothing can be trained on the result"}))
     return p
 
 

@@ -39,11 +39,18 @@ def summarise_overlaps(overlaps: DataFrame) -> DataFrame:
     )
 
 
+def with_bwt_ratio(df: DataFrame, seq: Column, name: str) -> DataFrame:
+    """df with the ratio of each row's sequence; a distinct sequence is transformed once and joined back."""
+    d = df.withColumn("_seq", seq)
+    once = d.select("_seq").filter("_seq is not null").distinct().withColumn(name, sq.bwt_ratio(F.col("_seq")))
+    return d.join(once, "_seq", "left").drop("_seq")
+
+
 def sequence_features(seqs: DataFrame, seq: str = "seq") -> DataFrame:
     """seqs: chrom, start, stop and a 141-base flank. Context, composition and complexity of each site."""
     s = F.upper(F.col(seq))
     c = sq.FLANK
-    return seqs.select(
+    return with_bwt_ratio(seqs, sq.complexity_window(s, c, 70), "bwt_ratio_70").select(
         *SITE,
         sq.strand(s, c).alias("strand"),
         sq.context_type(s, c).alias("ctx_type"),
@@ -52,6 +59,7 @@ def sequence_features(seqs: DataFrame, seq: str = "seq") -> DataFrame:
         sq.gc_skew(s).alias("gc_skew_70"),
         sq.cpg_gc_ratio(s).alias("cpg_gc_ratio_70"),
         sq.shannon_entropy(sq.complexity_window(s, c, 70)).alias("shannonentropy_70"),
+        "bwt_ratio_70",
     )
 
 

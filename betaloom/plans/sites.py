@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from betaloom.functions import sequence as sq
 from betaloom.functions.values import beta_bin, clip_beta
-from betaloom.operators.annotate import annotate, sequence_features, short_name, summarise_overlaps
+from betaloom.operators.annotate import annotate, sequence_features, short_name, summarise_overlaps, with_bwt_ratio
 from betaloom.operators.intervals import flank, overlap_join, tile_lookup
 from betaloom.plans.fixtures import FEATURES, SEQS, SITES, view
 from betaloom.sources.scans import pick_files
@@ -77,10 +77,8 @@ def shannon_entropy(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bwt_ratio(spark: SparkSession, d: str) -> DataFrame:
-    """Each distinct sequence is transformed once and joined back to its sites."""
-    seqs = table(spark, d, "annotation").select("site_id", F.upper("seq_5").alias("seq"))
-    once = seqs.select("seq").distinct().withColumn("bwt_ratio", sq.bwt_ratio(F.col("seq")))
-    return seqs.join(once, "seq", "left").select("site_id", "bwt_ratio")
+    """Over the 141-base flanks."""
+    return with_bwt_ratio(view(spark, d, SEQS), sq.complexity_window(F.upper("seq"), 70, 70), "bwt_ratio").select("chrom", "start", "bwt_ratio")
 
 
 def reverse_complement(spark: SparkSession, d: str) -> DataFrame:
@@ -138,6 +136,12 @@ def annotate_sites(spark: SparkSession, d: str) -> DataFrame:
     return full.select("chrom", "start", "stop", "strand", "ctx_type", "seq_5", r(F.col("gc_70"), "gc_70"), r(F.col("gc_skew_70"), "gc_skew_70"), r(F.col("shannonentropy_70"), "shannonentropy_70"), "gene_symbols", "promoter", "enhancer", "lncrna", "cpg", "location")
 
 
+def annotate_sites_whole(spark: SparkSession, d: str) -> DataFrame:
+    """annotate_sites with the columns that its SQL has not: cpg_gc_ratio_70 and bwt_ratio_70."""
+    seqs = view(spark, d, SEQS)
+    return annotate(seqs.select("chrom", "start", "stop").distinct(), sequence_features(seqs), _summary(spark, d))
+
+
 def context_betas(spark: SparkSession, d: str) -> DataFrame:
     """Per method and context: rows, mean raw and mean clipped beta, depth >= 10; the flagship query."""
     rows = table(spark, d, "formatted_bedgraph").filter(F.col("chrom").isin(CONTIGS) & (F.col("depth") >= 10) & F.col("beta").isNotNull() & ~F.isnan("beta"))
@@ -150,7 +154,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         sites_pileup, site_filter_distinct, site_union_distinct, file_whitelist, file_blacklist, flank_expand, seq_slices, base_counts, gc_features, strand_context, shannon_entropy, bwt_ratio,
-        reverse_complement, base_split, beta_bins, clipped_beta, clipped_beta_whole, genome_tile_lookup, overlaps, overlaps_stranded, overlap_summary, annotate_sites, context_betas,
+        reverse_complement, base_split, beta_bins, clipped_beta, clipped_beta_whole, genome_tile_lookup, overlaps, overlaps_stranded, overlap_summary, annotate_sites, annotate_sites_whole, context_betas,
     )
 }
 

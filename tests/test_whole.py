@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from betaloom.functions.sequence import _bwt_runs
 from betaloom.plans import learning
+from betaloom.plans.fixtures import SEQS, view
 
 DATA = "/root/testdata/sf0.001"
 
@@ -37,3 +39,13 @@ def test_evaluation_covers_all_labelled_rows(spark, monkeypatch):
     assert seen["leaderboard"].count() == labelled.count() and abs(got["predicted_beta"] - raw) < 1e-9
     learning.permutation_importance(spark, DATA)
     assert labelled.count() - 20 * 12 < seen["permutation_importance"].count() < labelled.count()
+
+
+def test_bwt_ratio_covers_the_whole_flank(spark):
+    q = entry.queries()
+    seqs = view(spark, DATA, SEQS)
+    got = {(r["chrom"], r["start"]): r["bwt_ratio"] for r in q["bwt_ratio"](spark, DATA).collect()}
+    some = seqs.orderBy("start").limit(5).collect()
+    assert len(got) == seqs.count() and all(abs(got[r["chrom"], r["start"]] - _bwt_runs(r["seq"].upper()) / 142) < 1e-12 for r in some)
+    whole = q["annotate_sites_whole"](spark, DATA)
+    assert whole.count() == q["annotate_sites"](spark, DATA).count() and whole.filter("bwt_ratio_70 is null").count() == 0 and "cpg_gc_ratio_70" in whole.columns
