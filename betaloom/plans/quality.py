@@ -47,6 +47,12 @@ def p2_low_depth_cells(spark: SparkSession, d: str) -> DataFrame:
     return c.filter("level = 'sample'").select("field", "row_id", F.round(F.col("value").cast("double"), 6).alias("value"), "donor_id", "distance")
 
 
+def p2_low_depth_cells_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of all levels; p2_low_depth_cells has those of the first, as its SQL."""
+    c = low_depth_cells(table(spark, d, "low_depth"))
+    return c.select("field", "row_id", F.round(F.col("value").cast("double"), 6).alias("value"), "donor_id", "distance", "level")
+
+
 def p2_low_depth_filled(spark: SparkSession, d: str) -> DataFrame:
     low = table(spark, d, "low_depth")
     cells = low_depth_cells(low)
@@ -96,7 +102,7 @@ def p5_mask_drift(spark: SparkSession, d: str) -> DataFrame:
     return mask_drift(mask_profile(_counts(spark, d), CHECKS), table(spark, d, "loads"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_low_depth_cells, p2_low_depth_filled, p2_location_filled, p5_found, p5_column_profile, p5_value_drift, p5_mask_profile, p5_rare_masks, p5_mask_drift)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_low_depth_cells, p2_low_depth_cells_whole, p2_low_depth_filled, p2_location_filled, p5_found, p5_column_profile, p5_value_drift, p5_mask_profile, p5_rare_masks, p5_mask_drift)}
 
 _LOCS = ", ".join(f"'{x.lower()}'" for x in LOCATIONS)
 _BETA = "case when not isnan(beta) and beta between -0.5 and 100.5 then beta end"

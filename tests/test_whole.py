@@ -49,3 +49,10 @@ def test_bwt_ratio_covers_the_whole_flank(spark):
     assert len(got) == seqs.count() and all(abs(got[r["chrom"], r["start"]] - _bwt_runs(r["seq"].upper()) / 142) < 1e-12 for r in some)
     whole = q["annotate_sites_whole"](spark, DATA)
     assert whole.count() == q["annotate_sites"](spark, DATA).count() and whole.filter("bwt_ratio_70 is null").count() == 0 and "cpg_gc_ratio_70" in whole.columns
+
+
+def test_cells_of_all_levels(spark):
+    q = entry.queries()
+    whole, first, filled = (q[n](spark, DATA) for n in ("p2_low_depth_cells_whole", "p2_low_depth_cells", "p2_low_depth_filled"))
+    n = whole.count()
+    assert n == filled.agg(F.count_if("beta_filled") + F.count_if("depth_filled")).first()[0] and n > first.count() == whole.filter("level = 'sample'").count()
