@@ -1,17 +1,25 @@
 """Pages made of repeated keywords, bare link lists or product tags rather than sentences.
 
-Two kinds of evidence are taken of every page and joined. Phrase evidence: the five-word shingles of all pages are counted
-per page and then looked up among those that stand on several hosts; a page's stitched share is the part of its shingles
-that also stand on another host or again on the page itself, its repeated share the part that repeats earlier ones.
-List-density evidence: the part of a page's characters that lies in bare links or in words strung together without
-sentences, code, logs or tables around them; the loose share is the same without a least number of links or words. A page is
-flagged if most of it is list-like; if less of it is, or nearly all by the loose share, and nearly all of its phrases are
-replicated; or if nearly all of its phrases are replicated, most of them from the page itself, and it is not mainly code,
-logs or tables.
-Replication on other hosts alone is no verdict, as copies of genuine posts have it.
-
-A phrase has two or more hosts if the least and the greatest host differ, which partial aggregation settles before the
-shuffle. A page's shingles are counted inside its row, so only those that it holds once are looked up.
+Two kinds of evidence are taken of every page and joined; neither knows a language.
+
+Phrase evidence: the five-word shingles of all pages are exploded and their distinct hosts counted. A page's stitched share is
+the part of its shingles that also stand on another host or again on the page itself, its repeated share the part that
+repeats earlier ones, and its copied share the part of its distinct shingles that stand on MANY_HOSTS hosts or more.
+Keywords are phrases of one word: the keyword share is the part of a page's words outside code that a few words hold.
+
+List-density evidence: a page is cut into segments at line ends and sentence ends. A segment that ends like a sentence is
+prose, one with code, log or table marks is technical, the rest is list-like; density is the share of characters in
+list-like segments and in the links inside them. Bare links, words, items between separators, the share of words held by
+few (bare_keyed) and of short words are counted over the list-like segments.
+
+A page is flagged if
+- most of it is list-like, and this is borne out by many bare links, by many short items with few short words, by product
+  marks, by a few words that hold most of it, or by a long run of words with no punctuation and hardly any short words;
+  where its phrases are replicated, a third of these links, items and words is enough;
+- a few words hold most of its prose as well (keywords dressed as sentences), and it is not mainly technical;
+- nearly all of its phrases are replicated, most of them on the page itself, and it is not mainly technical; or
+- it is long enough, and all its phrases stand on MANY_HOSTS hosts or more (one text posted everywhere).
+Replication on a few other hosts alone is no verdict, as copies of genuine posts have it.
 
 Defined results: null and empty texts have no evidence and are not flagged; a page without host is a host of its own;
 rows that share an id are one page, with
@@ -21,119 +29,66 @@ phrases (null); texts of any length are read whole; an empty table gives no rows
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from betaloom.shared import cut_lineage, ship, sized
-
-ship(__name__)
+from betaloom.shared import cut_lineage, sized
 
 WORDS = 5  # words of a shingle
-FEW_LINKS = 6  # bare links from which a page counts as a link list
-FEW_WORDS = 20  # bare words from which they count as strung together
-MOSTLY = 0.5  # list-like share that flags a page by itself
-PARTLY, STITCHED = 0.25, 0.8  # list-like and stitched share that flag it together
-NEARLY = 0.8  # loosely list-like share that flags a stitched page with too few links and words for list density
-REPEATED, TECHNICAL = 0.6, 0.5  # repeated share that flags a stitched page, unless so much of it is code, logs or tables
-
-# --- fixed values: common function words of the five languages -----------------------------------------------------------
-FUNCTION_WORDS = frozenset(
-    """
-the a an is are was were be been to of in on for with or if that this it its not no but so because although though from by as at my your
-i we you they he she can will would must have has had do does did there here which when while what why how me last only after before every
-one still them our their than then yet both without please thanks already same all set see say says call found use just try
-der die das den dem des ein eine einen einer und oder ist sind war wird nicht auf mit von zu zum zur im in am an es ich wir du sie er bei
-seit wie aber wenn dass für als auch nur noch schon mir mich mein meine hat haben kann muss man so dann durch aus nach vor über unter diese
-dieser dieses ohne obwohl mehr jemand warum dort etwas danach zuerst jetzt möchte bleibt gut
-el la los las un una unos de del y o en que no es está están era con por para se su sus lo le mi me pero como más muy ya ha he hay al si
-cuando desde después primero aunque sigue ahora tiene alguien sabe qué nada aquí mucho bien
-le la les un une des du de et ou est sont était dans sur pour par ne que qui ce cette ces il elle je nous vous avec mais plus moi chez
-depuis alors en au aux mon ma d l n c où puis faut pourquoi cela reste voir aussi peu
-os as um uma do da dos das e em na nos nas não são está com ao eu meu minha mas como mais já há depois ainda isso embora tenha fica preciso
-alguém veja bem
-""".split()
+MOSTLY = 0.5  # share of a page that has to be list-like
+SENTENCE_WORDS = 80  # words of a segment beyond which an end like a sentence's does not make it prose
+FEW_LINKS = 6  # bare links that bear out a link list
+FEW_WORDS = 20  # list-like words below which words bear out nothing
+FEW_ITEMS, ITEM_WORDS, SHORT_LISTED = 10, 4, 0.35  # items that bear out a list of tags, their mean number of words and share of short words at most
+PRODUCT_WORDS = 8  # words for each product mark, at most, in a list of products
+KEY_PART, KEYED = 20, 0.4  # list-like words: each key word holds one in KEY_PART, all of them KEYED
+DRESSED_PART = 6  # the same over prose as well, where genuine posts repeat themselves too
+RUN_WORDS, SHORT_WORDS = 40, 0.2  # words of a run without punctuation, and its short words at most
+STITCHED, FEWER = 0.8, 3  # replicated share that bears out lists with links, words and items fewer by this divisor
+REPEATED, TECHNICAL = 0.6, 0.5  # repeated share that flags a stitched page, unless so much of it is technical
+MANY_HOSTS, COPY_WORDS = 30, 20  # hosts of all phrases of a page of so many phrases that is posted everywhere
+
+# --- fixed values: forms of links, markup, code, logs, tables and product marks ---------------------------------------
+_MARK = "\x01"
+_TLD = "com|net|org|info|biz|io|co|eu|de|fr|es|pt|uk|ru|cn|shop|online|site|xyz|example|test|invalid"
+_INVISIBLE = r"[\u200b-\u200f\u2060\ufeff\u00ad]"
+_BREAK = r"(?i)<(?:br|/?p|/?li|/?div|/?tr)\b[^<>]*+>"
+_ANCHOR = r"(?i)<a\b(?=[^<>]*\bhref)[^<>]*+>|\[url=[^\[\]\n]*+\]"
+_TAG = r"(?i)</?[a-z][^<>]*+>|\[/?url\]"
+# a label of a domain has at most 63 letters, a domain at most 127 labels
+_LINK = rf"(?i)(?:https?://|www\.)[^\s<>\"')\]]+|\b(?:[\p{{L}}\p{{N}}_-]{{1,63}}+\.){{1,126}}+(?:{_TLD})\b(?![\p{{L}}\p{{N}}_(.=])(?:/[^\s<>\"')\]]*)?"
+_MARKDOWN = rf"!?\[([^\[\]\n]*+)\]\(\s*{_MARK}\s*\)"
+_SEGMENT = r"\n|(?<=[.!?…。！？])\s+|(?<=[。！？])"
+_END = r"[.!?…。！？][\s\"'»”’)\]*_`~]*$"
+_TECHNICAL = "|".join(
+    (
+        r"[(){}\[\]=$\\`]|<-|&[lg]t;|::|->|# |--\w|\s[<>]=?\s*\d|\breturn\b|\bSELECT\b",
+        r"\b\d\d:\d\d:\d\d\b|\b(?:DEBUG|INFO|WARN|WARNING|ERROR|TRACE|FATAL)\b",
+        r"\|.*\|.*\d|\d.*\|.*\||\t.*\t",
+        r"[,;\t]-?\d+(?:\.\d+)?[,;\t]-?\d",
+    )
 )
+_PRODUCT = r"[A-Za-z]{2,4}\W?\d{3,}|\b\d+-\w+\b|-\d+%|\d[.,]\d\d\b"
+_ITEM = rf"\s*(?:[,;|/•·~+#»>{_MARK}]|\s[-–*]\s)\s*|\n|\s\s+"
+_WORD, _GAP = r"[\p{L}\p{N}]+", r"[^\p{L}\p{N}]+"
 # ------------------------------------------------------------------------------------------------------------------
 
-_TLD = "com|net|org|info|biz|io|co|eu|de|fr|es|pt|uk|ru|cn|shop|online|site|xyz|example|test|invalid"
-_URL = rf"(?:https?://|www\.)[^\s<>\"')\]]+|\b(?:[\w-]+\.)+(?:{_TLD})\b(?![\w(.=])(?:/[^\s<>\"')\]]*)?"
-_LINK = re.compile(_URL, re.I)
-_HINT = re.compile(rf"://|www\.|\.(?:{_TLD})\b", re.I)  # what any link holds
-_MARK = "\x01"
-_MARKDOWN = re.compile(rf"!?\[([^\]\n]*)\]\(\s*{_MARK}\s*\)")
-_BBCODE = re.compile(r"\[url=?([^\]]*)\]|\[/url\]", re.I)
-_ANCHOR = re.compile(r"<a\b[^<>]{0,2000}?href\s*=[^<>]{0,2000}>", re.I)
-_TAG = re.compile(r"<(br)?[^<>]{0,2000}>", re.I)
-_WORD = re.compile(r"[^\W\d_](?:[^\W_]|[@$])*|\d[^\W_]*[^\W\d_][^\W_]*")
-_CODE = re.compile(r"[(){}\[\]=$\\`]|<-|&gt;|::|->|# |\bSELECT\b|--\w|\s[<>]=?\s*\d|\breturn\b")
-_LOG = re.compile(r"\b\d\d:\d\d:\d\d\b|\b(?:DEBUG|INFO|WARN|WARNING|ERROR|TRACE|FATAL)\b")
-_PRODUCT = re.compile(r"\bsku\W?\d|\bref\.? ?\d|\bart\.? ?\d|\b\d+-pack\b|-\d+%|[.,]99\b", re.I)
-_SENTENCE = re.compile(r"(?<=[.!?])\s+")
-_HASHTAG = re.compile(r"#(?=\w)")
-_DIGIT = re.compile(r"\d")
-_DASH = re.compile(r"\s[-–]\s")
-
-
-def _is_prose(words: list[str], text: str) -> bool:
-    n = sum(w in FUNCTION_WORDS for w in words)
-    return (n >= 2 and n >= 0.15 * len(words)) or (n >= 1 and len(words) >= 4 and n >= 0.2 * len(words) and text.rstrip()[-1:] in ".!?")
-
-
-def _is_technical(text: str, chars: int) -> bool:
-    """Code, a table row or a row of numbers."""
-    digits = len(_DIGIT.findall(text))
-    return bool(_CODE.search(_DASH.sub(" ", text))) or (text.count("|") >= 2 and digits > 0) or text.count("\t") > 1 or (digits > 0.3 * chars and not _PRODUCT.search(text))
-
-
-def list_density(text: str | None) -> tuple[float, int, int, float]:
-    """Share of a page's characters in bare links and strung-together words; bare links; bare words; the share however few they are."""
-    if not text or not text.strip():
-        return 0.0, 0, 0, 0.0
-    s, link_chars = text.replace(_MARK, " "), 0
-    if _HINT.search(s):
-        whole = len(s)
-        s, n = _LINK.subn(_MARK, s)
-        link_chars = whole - len(s) + n
-        s = _MARKDOWN.sub(lambda m: f" {m.group(1)} {_MARK} ", s)
-    if "[" in s:
-        s = _BBCODE.sub(lambda m: f" {_MARK} " if m.group(1) else " ", s)
-    if "<" in s:
-        s = _TAG.sub(lambda m: "\n" if m.group(1) else " ", _ANCHOR.sub(f" {_MARK} ", s))
-    links, bare_links, bare_words, bare, rest = s.count(_MARK), 0, 0, 0, 0
-    for line in s.split("\n"):
-        log = bool(_LOG.search(line))
-        for part in _SENTENCE.split(line):
-            body = part.replace(_MARK, " ")
-            tags = _HASHTAG.search(body)
-            named = _HASHTAG.sub(" ", body).replace("_", " ") if tags else body
-            words = _WORD.findall(named.lower())
-            chars = sum(map(len, body.split()))
-            if _is_prose(words, body) or log or _is_technical(named, chars):
-                rest += chars
-            else:
-                bare_links += part.count(_MARK)
-                bare_words += len(words)
-                bare += chars
-    linked, in_links, whole = bare_links >= FEW_LINKS, link_chars * bare_links / max(links, 1), max(link_chars + bare + rest, 1)
-    mass = (in_links if linked else 0.0) + (bare if linked or bare_words >= FEW_WORDS else 0)
-    return mass / whole, bare_links, bare_words, (in_links + bare) / whole
-
-
-def _density(text: str) -> Column:
-    @F.pandas_udf("density double, bare_links int, bare_words int, loose double")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in parts:
-            yield pd.DataFrame([list_density(t) for t in s], columns=["density", "bare_links", "bare_words", "loose"])
-
-    return run(F.col(text))
+
+def _ink(text: Column) -> Column:
+    """Characters other than blanks."""
+    return F.length(F.regexp_replace(text, r"\s+", ""))
+
+
+def _marks(text: Column) -> Column:
+    return F.length(text) - F.length(F.translate(text, _MARK, ""))
+
+
+def word_list(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), _GAP), lambda x: x != "")
 
 
 def word_hashes(text: Column) -> Column:
-    return F.transform(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != ""), lambda x: F.xxhash64(x))
+    return F.transform(word_list(text), lambda x: F.xxhash64(x))
 
 
 def shingles(words: str, n: int = WORDS) -> Column:
@@ -147,12 +102,61 @@ def shingles(words: str, n: int = WORDS) -> Column:
     return F.transform(runs, lambda z: F.xxhash64(z))
 
 
-def technical_share(text: Column) -> Column:
-    """Share of a text's characters in lines of code, logs or tables."""
-    marks = "|".join(f"(?:{x})" for x in (_CODE.pattern, _LOG.pattern, r"\|.*\|", r"\t.*\t"))
-    chars = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + F.length(x))
-    lines = F.split(text, "\n")
-    return chars(F.filter(lines, lambda x: x.rlike(marks))) / F.greatest(chars(lines), F.lit(1))
+def _kind(segment: Column) -> Column:
+    """p for prose, t for technical, b for list-like, null for a blank segment."""
+    body = F.translate(segment, _MARK, " ")
+    flat = F.regexp_replace(F.regexp_replace(body, r"#(?=\w)", " "), r"\s[-–]\s", " ")
+    digits = F.length(flat) - F.length(F.translate(flat, "0123456789", ""))
+    numbers = (digits > 0.3 * _ink(flat)) & (F.regexp_count(flat, F.lit(_PRODUCT)) * 8 < F.regexp_count(flat, F.lit(_WORD)))
+    prose = body.rlike(_END) & F.regexp_count(body, F.lit(_WORD)).between(2, SENTENCE_WORDS)
+    return F.when(F.trim(segment) == "", None).when(prose, "p").when(flat.rlike(_TECHNICAL) | numbers, "t").otherwise("b")
+
+
+def _key_share(words: str, part: int) -> Column:
+    """Share of the words of a sorted list that are held by words making up at least one in `part` each (and 3)."""
+    w = F.col(words)
+    n = F.size(w)
+    k = F.greatest(F.lit(3), F.ceil(n / part).cast("int"))
+    # in a sorted list, a word that stands k times or more equals the one k - 1 on; its first k - 1 places are added
+    z = F.arrays_zip(w.alias("x"), F.slice(w, k, F.greatest(n, F.lit(1))).alias("on"), F.concat(F.array(F.lit(None).cast("long")), w).alias("before"))
+    runs = F.filter(z, lambda r: r["x"] == r["on"])
+    heads = F.filter(runs, lambda r: ~r["x"].eqNullSafe(r["before"]))
+    return F.when(n > 0, (F.size(runs) + (k - 1) * F.size(heads)) / n).otherwise(0.0)
+
+
+def list_evidence(pages: DataFrame, text: str) -> DataFrame:
+    """pages with density, bare_links, bare_words, items, products, bare_keyed, short_words, keyed, prose_words and technical.
+
+    Only built-in expressions; each column that others are made of is a step of its own, so that nothing is computed twice.
+    """
+    s = F.regexp_replace(F.regexp_replace(F.col(text), _INVISIBLE, ""), _BREAK, "\n")
+    d = pages.withColumn("_s", s)
+    s = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("_s"), _ANCHOR, f" {_MARK} "), _TAG, " "), _LINK, f" {_MARK} "), _MARKDOWN, f" $1 {_MARK} ")
+    d = d.withColumns({"_t": s, "_n": _ink(F.col("_s"))}).drop("_s")
+    d = d.withColumn("_seg", F.transform(F.split("_t", _SEGMENT), lambda x: F.struct(_kind(x).alias("k"), x.alias("x"))))
+    join = lambda k: F.array_join(F.transform(F.filter("_seg", lambda z: z["k"] == k), lambda z: z["x"]), "\n")
+    d = d.withColumns({"_bare": join("b"), "_prose": join("p"), "_links": F.greatest(F.col("_n") - _ink(F.col("_t")) + _marks(F.col("_t")), F.lit(0)), "_all": _marks(F.col("_t"))})
+    d = d.withColumns({"_ink_b": _ink(F.translate("_bare", _MARK, "")), "_ink_p": _ink(F.translate("_prose", _MARK, "")), "_ink": _ink(F.translate("_t", _MARK, "")), "bare_links": _marks(F.col("_bare"))})
+    d = d.drop("_seg", "_t", "_n").withColumns({"_w": word_list(F.translate("_bare", "_", " ")), "_wp": word_hashes(F.translate("_prose", "_", " "))})
+    d = d.withColumn("_wb", F.transform("_w", lambda x: F.xxhash64(x)))
+    d = d.withColumns({"_sb": F.array_sort("_wb"), "_sa": F.array_sort(F.concat("_wb", "_wp"))})
+    whole = F.greatest(F.col("_links") + F.col("_ink"), F.lit(1))
+    linked = F.col("_links") * F.col("bare_links") / F.greatest("_all", F.lit(1))
+    out = {
+        "density": (linked + F.col("_ink_b")) / whole,
+        "technical": (F.col("_ink") - F.col("_ink_b") - F.col("_ink_p")) / whole,
+        "bare_words": F.size("_wb"),
+        "items": F.size(F.filter(F.split("_bare", _ITEM), lambda x: F.trim(x) != "")),
+        "products": F.regexp_count("_bare", F.lit(_PRODUCT)),
+        "bare_keyed": _key_share("_sb", KEY_PART),
+        "short_words": F.size(F.filter("_w", lambda x: F.length(x) <= 3)) / F.greatest(F.size("_w"), F.lit(1)),
+        "keyed": _key_share("_sa", DRESSED_PART),
+        "words": F.size("_sa"),
+    }
+    return d.withColumns(out).drop("_bare", "_prose", "_links", "_all", "_ink_b", "_ink_p", "_ink", "_w", "_wp", "_wb", "_sb", "_sa")
+
+
+EVIDENCE = ["density", "bare_links", "bare_words", "items", "products", "bare_keyed", "short_words", "keyed", "words", "technical"]
 
 
 def _once_and_again(sorted_shingles: str) -> tuple[Column, Column]:
@@ -164,30 +168,52 @@ def _once_and_again(sorted_shingles: str) -> tuple[Column, Column]:
     return F.transform(F.filter(runs, lambda z: first(z) & ~twice(z)), lambda z: z["x"]), F.transform(F.filter(runs, lambda z: first(z) & twice(z)), lambda z: z["x"])
 
 
+def host_of(host: str, page: str) -> Column:
+    """A page without host is a host of its own."""
+    return F.when(F.col(host).isNotNull(), F.xxhash64(F.col(host))).otherwise(F.xxhash64(F.lit("page"), F.col(page)))
+
+
+def hosts_per_phrase(phrases: DataFrame, phrase: str = "sh") -> DataFrame:
+    """(phrase, n_hosts) of rows (phrase, host). Pairs are made distinct first, so that a phrase on a third of all pages is counted
+    from partial counts and never meets in one task."""
+    return phrases.select(phrase, "host").distinct().groupBy(phrase).agg(F.count(F.lit(1)).alias("n_hosts"))
+
+
+def verdict() -> Column:
+    """Whether the evidence of a page, phrases and list density joined, makes it one of repeated keywords, links or tags."""
+    c = F.col
+    stitched = F.coalesce(c("stitched") >= STITCHED, F.lit(False))
+    enough = lambda name, least: c(name) >= F.when(stitched, -(-least // FEWER)).otherwise(least)
+    words, per_item = enough("bare_words", FEW_WORDS), c("bare_words") / F.greatest("items", F.lit(1))
+    links = enough("bare_links", FEW_LINKS)
+    tags = words & enough("items", FEW_ITEMS) & (per_item <= ITEM_WORDS) & (c("short_words") < SHORT_LISTED)
+    products = words & (c("products") * PRODUCT_WORDS >= c("bare_words"))
+    keyed = words & (c("bare_keyed") >= KEYED)
+    run = enough("bare_words", RUN_WORDS) & (c("short_words") < SHORT_WORDS) & (per_item > ITEM_WORDS)
+    listed = (c("density") > MOSTLY) & (links | tags | products | keyed | run)
+    dressed = (c("words") >= FEW_WORDS) & (c("keyed") >= KEYED) & (c("technical") < TECHNICAL)
+    repeated = stitched & (c("repeated") >= REPEATED) & (c("technical") < TECHNICAL)
+    return listed | dressed | repeated | ((c("copied") == 1) & (c("phrases") >= COPY_WORDS))
+
+
 def pages(docs: DataFrame, id_col: str, host_col: str, text_col: str) -> DataFrame:
-    """Evidence and verdict of every page: id, density, bare_links, bare_words, loose, stitched, repeated, technical, flagged.
+    """Evidence and verdict of every page: id, the columns of list_evidence, stitched, repeated, copied, phrases, flagged.
 
-    stitched and repeated are null for pages of fewer than five words, technical where nothing depends on it. Texts are read
-    once and never shuffled: one pass takes list density and counted shingles.
+    stitched, repeated and copied are null for pages of fewer than five words. Texts are read once and never shuffled: one
+    pass takes list density and counted shingles.
     """
-    host = F.when(F.col(host_col).isNotNull(), F.xxhash64(F.col(host_col))).otherwise(F.xxhash64(F.lit("page"), F.col(id_col)))
-    d = docs.select(F.col(id_col).alias("id"), host.alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    e = d.select("id", "host", "text", _density("text").alias("e"))
+    d = docs.select(F.col(id_col).alias("id"), host_of(host_col, id_col).alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    e = list_evidence(d, "text").withColumn("w", word_hashes(F.regexp_replace("text", _INVISIBLE, ""))).drop("text")
     # separate columns of word hashes and of sorted shingles, so that texts are split once
-    e = e.select("id", "host", "text", "e.*", word_hashes(F.col("text")).alias("w"))
     e = e.withColumn("s", F.sort_array(shingles("w"))).drop("w")
     once, again = _once_and_again("s")
-    e = e.withColumns({"once": once, "again": again, "n": F.size("s")}).drop("s")
-    e = e.withColumn("repeated", F.when(F.col("n") > 0, 1 - (F.size("once") + F.size("again")) / F.col("n")))
-    e = e.withColumn("technical", F.when(F.col("repeated") >= REPEATED, technical_share(F.col("text")))).drop("text")
+    e = e.withColumns({"once": once, "again": again, "phrases": F.size("s")}).drop("s")
     e = cut_lineage(e.withColumn("row", F.monotonically_increasing_id()))
-    hosts = e.select("host", F.explode(F.concat("once", "again")).alias("sh")).groupBy("sh").agg(F.min("host").alias("lo"), F.max("host").alias("hi"))
-    spread = cut_lineage(hosts.filter("lo <> hi").select("sh"))
-    elsewhere = e.select("row", F.explode("once").alias("sh")).join(sized(spread), "sh").groupBy("row").agg(F.count(F.lit(1)).alias("n_elsewhere"))
-    own = e.select("row", "id", "density", "bare_links", "bare_words", "loose", "repeated", "technical", "n", (F.col("n") - F.size("once")).alias("n_again"))
-    share = F.when(F.col("n") > 0, (F.col("n_again") + F.coalesce("n_elsewhere", F.lit(0))) / F.col("n"))
-    short = (F.col("loose") >= NEARLY) & (F.col("bare_links") + F.col("bare_words") >= WORDS)
-    joined = (F.col("density") >= PARTLY) | short | ((F.col("repeated") >= REPEATED) & (F.col("technical") < TECHNICAL))
-    flagged = (F.col("density") > MOSTLY) | F.coalesce((F.col("stitched") >= STITCHED) & joined, F.lit(False))
-    out = own.join(elsewhere, "row", "left").withColumn("stitched", share).withColumn("flagged", flagged)
-    return out.groupBy("id").agg(*[F.max(c).alias(c) for c in ("density", "bare_links", "bare_words", "loose", "stitched", "repeated", "technical", "flagged")])
+    # phrases that a page holds once count if they stand elsewhere; those that it repeats count anyway, but have hosts as well
+    each = e.select("host", "row", F.explode(F.concat(F.transform("once", lambda x: F.struct(x.alias("sh"), F.lit(1).alias("new"))), F.transform("again", lambda x: F.struct(x.alias("sh"), F.lit(0).alias("new"))))).alias("p")).select("host", "row", "p.*")
+    spread = cut_lineage(hosts_per_phrase(each).filter("n_hosts > 1"))
+    elsewhere = each.select("row", "sh", "new").join(sized(spread), "sh").groupBy("row").agg(F.sum("new").alias("n_elsewhere"), F.count_if(F.col("n_hosts") >= MANY_HOSTS).alias("n_many"))
+    n, kinds = F.col("phrases"), F.size("once") + F.size("again")
+    own = e.select("row", "id", *EVIDENCE, "phrases", F.when(n > 0, 1 - kinds / n).alias("repeated"), (n - F.size("once")).alias("n_again"), kinds.alias("kinds"))
+    out = own.join(elsewhere, "row", "left").withColumn("stitched", F.when(n > 0, (F.col("n_again") + F.coalesce("n_elsewhere", F.lit(0))) / n)).withColumn("copied", F.when(n > 0, F.coalesce("n_many", F.lit(0)) / F.col("kinds")))
+    return out.withColumn("flagged", F.coalesce(verdict(), F.lit(False))).groupBy("id").agg(*[F.max(c).alias(c) for c in (*EVIDENCE, "stitched", "repeated", "copied", "phrases", "flagged")])
