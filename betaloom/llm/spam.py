@@ -57,9 +57,10 @@ _ANCHOR = r"(?i)<a\b(?=[^<>]*\bhref)[^<>]*+>|\[url=[^\[\]\n]*+\]"
 _TAG = r"(?i)</?[a-z][^<>]*+>|\[/?url\]"
 # a label of a domain has at most 63 letters, a domain at most 127 labels
 _LINK = rf"(?i)(?:https?://|www\.)[^\s<>\"')\]]+|\b(?:[\p{{L}}\p{{N}}_-]{{1,63}}+\.){{1,126}}+(?:{_TLD})\b(?![\p{{L}}\p{{N}}_(.=])(?:/[^\s<>\"')\]]*)?"
+_HINT = rf"(?i)://|www\.|\.(?:{_TLD})\b"  # what any link holds
 _MARKDOWN = rf"!?\[([^\[\]\n]*+)\]\(\s*{_MARK}\s*\)"
 _SEGMENT = r"\n|(?<=[.!?…。！？])\s+|(?<=[。！？])"
-_END = r"[.!?…。！？][\s\"'»”’)\]*_`~]*$"
+_END = rf"[.!?…。！？][\s\"'»”’)\]*_`~{_MARK}]*$"
 _TECHNICAL = "|".join(
     (
         r"[(){}\[\]=$\\`]|<-|&[lg]t;|::|->|# |--\w|\s[<>]=?\s*\d|\breturn\b|\bSELECT\b",
@@ -70,13 +71,20 @@ _TECHNICAL = "|".join(
 )
 _PRODUCT = r"[A-Za-z]{2,4}\W?\d{3,}|\b\d+-\w+\b|-\d+%|\d[.,]\d\d\b"
 _ITEM = rf"\s*(?:[,;|/•·~+#»>{_MARK}]|\s[-–*]\s)\s*|\n|\s\s+"
-_WORD, _GAP = r"[\p{L}\p{N}]+", r"[^\p{L}\p{N}]+"
+_WORD, _GAP, _TWO_WORDS = r"[\p{L}\p{N}]+", r"[^\p{L}\p{N}]+", r"[\p{L}\p{N}][^\p{L}\p{N}]+[\p{L}\p{N}]"
 # ------------------------------------------------------------------------------------------------------------------
 
 
+def visible(text: Column) -> Column:
+    """Text without zero-width characters and soft hyphens, which set words apart for a reader of bytes only."""
+    return F.regexp_replace(text, _INVISIBLE, "")
+
+
 def _ink(text: Column) -> Column:
-    """Characters other than blanks."""
-    return F.length(F.regexp_replace(text, r"\s+", ""))
+    """Characters other than spaces, tabs and line ends."""
+    for blank in (" ", "\n", "\t", "\r"):
+        text = F.replace(text, F.lit(blank), F.lit(""))
+    return F.length(text)
 
 
 def _marks(text: Column) -> Column:
@@ -103,13 +111,11 @@ def shingles(words: str, n: int = WORDS) -> Column:
 
 
 def _kind(segment: Column) -> Column:
-    """p for prose, t for technical, b for list-like, null for a blank segment."""
-    body = F.translate(segment, _MARK, " ")
-    flat = F.regexp_replace(F.regexp_replace(body, r"#(?=\w)", " "), r"\s[-–]\s", " ")
-    digits = F.length(flat) - F.length(F.translate(flat, "0123456789", ""))
-    numbers = (digits > 0.3 * _ink(flat)) & (F.regexp_count(flat, F.lit(_PRODUCT)) * 8 < F.regexp_count(flat, F.lit(_WORD)))
-    prose = body.rlike(_END) & F.regexp_count(body, F.lit(_WORD)).between(2, SENTENCE_WORDS)
-    return F.when(F.trim(segment) == "", None).when(prose, "p").when(flat.rlike(_TECHNICAL) | numbers, "t").otherwise("b")
+    """p for prose, t for technical, b for list-like. What most segments settle is asked first."""
+    several = segment.rlike(_TWO_WORDS) & ((F.length(segment) < 2 * SENTENCE_WORDS) | (F.regexp_count(segment, F.lit(_WORD)) <= SENTENCE_WORDS))
+    digits = F.length(segment) - F.length(F.translate(segment, "0123456789", ""))
+    numbers = (digits > 0.3 * _ink(segment)) & (F.regexp_count(segment, F.lit(_PRODUCT)) * PRODUCT_WORDS < F.regexp_count(segment, F.lit(_WORD)))
+    return F.when(segment.rlike(_END) & several, "p").when(segment.rlike(_TECHNICAL) | numbers, "t").otherwise("b")
 
 
 def _key_share(words: str, part: int) -> Column:
@@ -125,21 +131,27 @@ def _key_share(words: str, part: int) -> Column:
 
 
 def list_evidence(pages: DataFrame, text: str) -> DataFrame:
-    """pages with density, bare_links, bare_words, items, products, bare_keyed, short_words, keyed, prose_words and technical.
+    """pages (text without invisible characters) with density, bare_links, bare_words, items, products, bare_keyed, short_words, keyed, prose_words and technical.
 
     Only built-in expressions; each column that others are made of is a step of its own, so that nothing is computed twice.
     """
-    s = F.regexp_replace(F.regexp_replace(F.col(text), _INVISIBLE, ""), _BREAK, "\n")
-    d = pages.withColumn("_s", s)
-    s = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("_s"), _ANCHOR, f" {_MARK} "), _TAG, " "), _LINK, f" {_MARK} "), _MARKDOWN, f" $1 {_MARK} ")
-    d = d.withColumns({"_t": s, "_n": _ink(F.col("_s"))}).drop("_s")
-    d = d.withColumn("_seg", F.transform(F.split("_t", _SEGMENT), lambda x: F.struct(_kind(x).alias("k"), x.alias("x"))))
+    where = lambda has, x, then: F.when(has, then).otherwise(x)
+    t = F.col(text)
+    d = pages.withColumn("_s", where(t.contains("<"), t, F.regexp_replace(t, _BREAK, "\n")))
+    t = F.col("_s")
+    d = d.withColumn("_t", where(t.contains("<") | t.contains("["), t, F.regexp_replace(F.regexp_replace(t, _ANCHOR, f" {_MARK} "), _TAG, " ")))
+    t = F.col("_t")
+    d = d.withColumns({"_t": where(t.rlike(_HINT), t, F.regexp_replace(t, _LINK, f" {_MARK} ")), "_n": _ink(F.col("_s"))}).drop("_s")
+    t = F.col("_t")
+    d = d.withColumn("_t", where(t.contains("]("), t, F.regexp_replace(t, _MARKDOWN, f" $1 {_MARK} ")))
+    segments = F.filter(F.split("_t", _SEGMENT), lambda x: F.trim(x) != "")
+    d = d.withColumn("_seg", F.transform(segments, lambda x: F.struct(_kind(x).alias("k"), x.alias("x"))))
     join = lambda k: F.array_join(F.transform(F.filter("_seg", lambda z: z["k"] == k), lambda z: z["x"]), "\n")
     d = d.withColumns({"_bare": join("b"), "_prose": join("p"), "_links": F.greatest(F.col("_n") - _ink(F.col("_t")) + _marks(F.col("_t")), F.lit(0)), "_all": _marks(F.col("_t"))})
     d = d.withColumns({"_ink_b": _ink(F.translate("_bare", _MARK, "")), "_ink_p": _ink(F.translate("_prose", _MARK, "")), "_ink": _ink(F.translate("_t", _MARK, "")), "bare_links": _marks(F.col("_bare"))})
     d = d.drop("_seg", "_t", "_n").withColumns({"_w": word_list(F.translate("_bare", "_", " ")), "_wp": word_hashes(F.translate("_prose", "_", " "))})
     d = d.withColumn("_wb", F.transform("_w", lambda x: F.xxhash64(x)))
-    d = d.withColumns({"_sb": F.array_sort("_wb"), "_sa": F.array_sort(F.concat("_wb", "_wp"))})
+    d = d.withColumns({"_sb": F.sort_array("_wb"), "_sa": F.sort_array(F.concat("_wb", "_wp"))})
     whole = F.greatest(F.col("_links") + F.col("_ink"), F.lit(1))
     linked = F.col("_links") * F.col("bare_links") / F.greatest("_all", F.lit(1))
     out = {
@@ -202,8 +214,8 @@ def pages(docs: DataFrame, id_col: str, host_col: str, text_col: str) -> DataFra
     stitched, repeated and copied are null for pages of fewer than five words. Texts are read once and never shuffled: one
     pass takes list density and counted shingles.
     """
-    d = docs.select(F.col(id_col).alias("id"), host_of(host_col, id_col).alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    e = list_evidence(d, "text").withColumn("w", word_hashes(F.regexp_replace("text", _INVISIBLE, ""))).drop("text")
+    d = docs.select(F.col(id_col).alias("id"), host_of(host_col, id_col).alias("host"), visible(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    e = list_evidence(d, "text").withColumn("w", word_hashes(F.col("text"))).drop("text")
     # separate columns of word hashes and of sorted shingles, so that texts are split once
     e = e.withColumn("s", F.sort_array(shingles("w"))).drop("w")
     once, again = _once_and_again("s")
