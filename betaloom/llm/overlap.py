@@ -1,12 +1,15 @@
 """The same or nearly the same records across splits, by similarity-preserving bit fingerprints.
 
-A record's fingerprint is made of four code blocks of 64 bits: two hash its exact fields with the cell of its position on
-two grids shifted by half a cell, two hash the cell of its value on two such grids. Records within the position and
-value radius cross at most one line of the two position grids and one of the two value grids, so that at most one
-block of either kind differs: their fingerprints lie within a Hamming radius of 128 of 256 bits, and at least one of
-the four permuted pairs (position block, value block) is equal. The tables of these pairs are joined across splits, the
-radius is checked on the bits, and what is left is verified on the values themselves. A pair is kept only at the first
-pair of blocks it shares, so that nothing has to be made distinct.
+A fingerprint has a position code and a value code of four segments each. Segment j is the Gray code of the record's cell on
+a grid of cells four steps wide, shifted by j steps, a step being the radius. The lines of the four grids lie one step
+apart, and cells next to each other differ in one bit: a record that lies k steps off differs in about k bits, as long as
+it is near, and one within the radius in one bit of each code at most. So near records have a Hamming distance of at
+most two, while records that share a cell may lie four steps apart in either code and be at a distance of up to eight.
+
+Since at most one segment of either code differs, two segments of each are enough to find all near records: the tables of
+the four permuted pairs (position segment, value segment) are joined across splits together with a hash of the exact
+fields. Candidates beyond the Hamming radius are dropped, and what is left is verified on the values themselves. A pair is
+kept only at the first pair of segments it shares, so that nothing has to be made distinct.
 
 A value of at most 1 may also stand for a fraction of 100: each record enters with every reading of its value, and a
 pair is kept at the first pair of readings that verifies. Missing values match only missing values.
@@ -27,7 +30,10 @@ from pyspark.sql import functions as F
 
 #: Reach in positions and in value, and slack for the rounding of decimal values.
 POS_RADIUS, VALUE_RADIUS, SLACK = 2, 0.5, 1e-9
-BLOCK_BITS = 64
+#: Segments of a code, those of them that are joined on, and the Hamming radius of both codes together.
+SEGMENTS, JOINED, BIT_RADIUS = 4, (0, 2), 2
+#: Cell of a missing value, out of reach of all others.
+MISSING = -(2**40)
 
 
 def contig(c: Column) -> Column:
@@ -36,21 +42,27 @@ def contig(c: Column) -> Column:
     return F.when(bare != "", F.concat(F.lit("chr"), F.upper(bare)))
 
 
-def _cells(x: Column, radius: float) -> list[Column]:
-    """Cell numbers on two grids whose lines lie at least 2 * radius apart, so that a step of radius crosses one at most."""
-    width = 4 * (radius + SLACK)
-    return [F.floor(x / width), F.floor(x / width + 0.5)]
+def gray(n: Column) -> Column:
+    """Code of a whole number in which neighbours differ in one bit."""
+    return n.bitwiseXOR(F.shiftrightunsigned(n, 1))
+
+
+def segments(x: Column, step: float) -> list[Column]:
+    """Code of a number: Gray codes of its cells on shifted grids, whose lines lie a step apart."""
+    return [gray(F.coalesce(F.floor((x + j * step) / (SEGMENTS * step)), F.lit(MISSING).cast("long"))) for j in range(SEGMENTS)]
 
 
-def _blocks(ex: Sequence[Column], pos: Column, x: Column, pos_radius: float, value_radius: float) -> tuple[list[Column], list[Column]]:
-    """The two position blocks and the two value blocks of a fingerprint; a missing value has blocks of its own."""
-    ps = [F.xxhash64(*ex, F.lit(i), c) for i, c in enumerate(_cells(pos, pos_radius))]
-    vs = [F.xxhash64(F.lit(i), F.coalesce(c, F.lit(-(2**40)))) for i, c in enumerate(_cells(x, value_radius))]
-    return ps, vs
+def hamming(a: list[Column], b: list[Column]) -> Column:
+    return sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b, strict=True)), F.lit(0))
+
+
+def _code(pos: str, x: str, pos_radius: float, value_radius: float) -> tuple[list[Column], list[Column]]:
+    """Position and value segments. Whole positions need no slack."""
+    return segments(F.col(pos), pos_radius), segments(F.col(x), value_radius + 2 * SLACK)
 
 
 def coded(df: DataFrame, rec_id: str, exact: Sequence[str], pos: str, value: str, carry: Sequence[str], pos_radius: float = POS_RADIUS, value_radius: float = VALUE_RADIUS) -> DataFrame:
-    """One row per record, reading of its value and permuted pair of blocks: the pair's number and key, and the record.
+    """One row per record, reading of its value and permuted pair of segments: the pair's number and key, and the record.
 
     Fingerprints follow from the record, so the shuffle carries one key of 64 bits instead of them.
     """
@@ -60,23 +72,25 @@ def coded(df: DataFrame, rec_id: str, exact: Sequence[str], pos: str, value: str
     base = base.filter(" and ".join(f"{x} is not null" for x in ["rec", "pos", *ex]))
     readings = F.when(F.col("v") <= 1, F.array(F.struct(F.lit(0).alias("no"), F.col("v").alias("x")), F.struct(F.lit(1).alias("no"), (F.col("v") * 100).alias("x")))).otherwise(F.array(F.struct(F.lit(0).alias("no"), F.col("v").alias("x"))))
     d = base.select("*", F.explode(readings).alias("r")).select("rec", "pos", "v", *carry, *ex, F.col("r.no").alias("no"), F.col("r.x").alias("x"))
-    ps, vs = _blocks([F.col(e) for e in ex], F.col("pos"), F.col("x"), pos_radius, value_radius)
-    perms = F.array(*[F.struct(F.lit(2 * i + j).cast("byte").alias("perm"), F.xxhash64(F.lit(2 * i + j), ps[i], vs[j]).alias("code")) for i in (0, 1) for j in (0, 1)])
+    ps, vs = _code("pos", "x", pos_radius, value_radius)
+    perms = F.array(*[F.struct(F.lit(2 * i + j).cast("byte").alias("perm"), F.xxhash64(*ex, F.lit(2 * i + j), ps[p], vs[v]).alias("code")) for i, p in enumerate(JOINED) for j, v in enumerate(JOINED)])
     return d.select("*", F.explode(perms).alias("k")).select("*", "k.perm", "k.code").drop("k")
 
 
-def pairs(train: DataFrame, other: DataFrame, n_exact: int, carry: Sequence[str] = (), pos_radius: float = POS_RADIUS, value_radius: float = VALUE_RADIUS) -> DataFrame:
-    """Verified pairs of two coded tables: rec_t, rec_o, and carried columns of the other side."""
-    ex = [f"e{i}" for i in range(n_exact)]
-    cols = ["rec", "pos", "v", "no", "x", *ex]
+def candidates(train: DataFrame, other: DataFrame, n_exact: int, carry: Sequence[str] = (), pos_radius: float = POS_RADIUS, value_radius: float = VALUE_RADIUS) -> DataFrame:
+    """Pairs that share a permuted pair of segments, each at the first it shares, with their Hamming `distance`."""
+    cols = ["rec", "pos", "v", "no", "x", *[f"e{i}" for i in range(n_exact)]]
     t = train.select("perm", "code", *[F.col(c).alias(f"t_{c}") for c in cols])
     o = other.select("perm", "code", *[F.col(c).alias(f"o_{c}") for c in cols], *carry)
-    j = t.join(o, ["perm", "code"])
-    tb = _blocks([F.col(f"t_{e}") for e in ex], F.col("t_pos"), F.col("t_x"), pos_radius, value_radius)
-    ob = _blocks([F.col(f"o_{e}") for e in ex], F.col("o_pos"), F.col("o_x"), pos_radius, value_radius)
-    distance = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip([*tb[0], *tb[1]], [*ob[0], *ob[1]], strict=True)), F.lit(0))
-    # the pair counts at the first of the four permutations that it shares
-    first = ((F.col("perm") < 2) | (tb[0][0] != ob[0][0])) & ((F.col("perm") % 2 == 0) | (tb[1][0] != ob[1][0]))
+    (tp, tv), (op, ov) = (_code(f"{s}_pos", f"{s}_x", pos_radius, value_radius) for s in "to")
+    k = JOINED[0]
+    first = ((F.col("perm") < 2) | (tp[k] != op[k])) & ((F.col("perm") % 2 == 0) | (tv[k] != ov[k]))
+    return t.join(o, ["perm", "code"]).filter(first).withColumn("distance", hamming(tp, op) + hamming(tv, ov))
+
+
+def pairs(train: DataFrame, other: DataFrame, n_exact: int, carry: Sequence[str] = (), pos_radius: float = POS_RADIUS, value_radius: float = VALUE_RADIUS) -> DataFrame:
+    """Verified pairs of two coded tables: rec_t, rec_o, and carried columns of the other side."""
+    j = candidates(train, other, n_exact, carry, pos_radius, value_radius).filter(F.col("distance") <= BIT_RADIUS)
     near = lambda a, b: F.abs(a - b) <= value_radius + SLACK
     tv, ov, tx, ox = F.col("t_v"), F.col("o_v"), F.col("t_x"), F.col("o_x")
     value_ok = (tv.isNull() & ov.isNull()) | F.coalesce(near(tx, ox), F.lit(False))
@@ -85,7 +99,7 @@ def pairs(train: DataFrame, other: DataFrame, n_exact: int, carry: Sequence[str]
     tn, on = F.col("t_no"), F.col("o_no")
     repeat = ((tn + on > 0) & plain) | ((on == 1) & left) | ((tn == 1) & (on == 1) & right)
     exact_ok = F.lit(True)
-    for e in ex:
+    for e in [f"e{i}" for i in range(n_exact)]:
         exact_ok = exact_ok & (F.col(f"t_{e}") == F.col(f"o_{e}"))
-    ok = exact_ok & (F.abs(F.col("t_pos") - F.col("o_pos")) <= pos_radius) & value_ok & ~F.coalesce(repeat, F.lit(False)) & (distance <= 2 * BLOCK_BITS) & first
+    ok = exact_ok & (F.abs(F.col("t_pos") - F.col("o_pos")) <= pos_radius) & value_ok & ~F.coalesce(repeat, F.lit(False))
     return j.filter(ok).select(F.col("t_rec").alias("rec_t"), F.col("o_rec").alias("rec_o"), *carry)
