@@ -1,10 +1,13 @@
 """Column-level quality profile of large tables, per load.
 
-Every present value is generalised to a character-class mask (digits to 9, letters to a, the rest kept), values are
-counted once per (load, column, value), and all figures are read off these counts: null shares, ranges, distinct
-counts, dominant and rare masks, and how far the distributions of values and of masks moved from the reference load.
-
-Defined results: a NaN counts as null (mask `NaN`); an infinite value is present and out of range; a null load id is a
+Every present value is generalised to a character-class mask of its text as delivered (digits to 9, letters to a, the rest
+kept; the coarse mask collapses runs as well), values are counted once per (load, column, value), and all figures are read
+off these counts: null shares, ranges, distinct counts, dominant and rare masks, and how far the distributions of values
+and of masks moved from the reference load. Dominant masks are mined per column over all loads; rows outside them violate
+the column's patterns.
+
+Defined results: a NaN counts as null (mask `NaN`); an infinite value is present and out of range; a text column has masks
+and distinct counts, and a range only where one is given, which its numbers are held to; a null load id is a
 load of its own, without reference; an empty table gives no rows; columns not named in the specification are not read,
 so that extra columns cannot clash.
 """
@@ -16,20 +19,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NumericType
 
 from betaloom.shared import blocked_cumsum, cut_lineage
 
 #: Blocks into which the range of a column is cut for running shares.
 BLOCKS = 512
+#: Share of a column's present rows, over all loads, from which a coarse mask is dominant.
+DOMINANT = 0.01
 
 
 @dataclass(frozen=True)
 class Check:
-    """A profiled column: its type as text ('int' or 'real') and its closed range."""
+    """A profiled column and its closed range, if it has one."""
 
-    lo: float
-    hi: float
-    whole: bool = False
+    lo: float | None = None
+    hi: float | None = None
 
 
 def mask(text: Column) -> Column:
@@ -37,22 +42,38 @@ def mask(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"\p{L}", "a"), r"\p{Nd}", "9")
 
 
+def coarse(fine: Column) -> Column:
+    """A mask with its runs of digits and of letters collapsed: 99.99 gives 9.9, aa9_a9_9 gives a9_a9_9."""
+    return F.regexp_replace(F.regexp_replace(fine, "9+", "9"), "a+", "a")
+
+
 def value_counts(df: DataFrame, load: str, checks: Mapping[str, Check], agreements: Mapping[str, Column] | None = None) -> DataFrame:
-    """(load, column_name, value, n): one scan, one shuffle of pre-aggregated counts.
+    """(load, column_name, value, text, n): one scan, one shuffle of pre-aggregated counts.
 
-    agreements adds pseudo-columns of 1.0 (rows disagree), 0.0 (agree) or null (not comparable).
+    value is the number, if the column's text is one; text is how the value was delivered. Numbers are counted as such and
+    put into text afterwards, once per distinct value. agreements adds pseudo-columns of 1.0 (rows disagree), 0.0 (agree) or null (not comparable).
     """
-    parts = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in checks]
-    parts += [F.struct(F.lit(c).alias("column_name"), e.cast("double").alias("value")) for c, e in (agreements or {}).items()]
-    long = df.select(F.col(load).alias("load_id"), F.explode(F.array(*parts)).alias("p")).select("load_id", "p.column_name", "p.value")
-    return long.groupBy("load_id", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    kind = {c: df.schema[c].dataType for c in checks}
+    none = F.lit(None).cast("string")
+    parts = []
+    for c in checks:
+        number = isinstance(kind[c], NumericType)
+        parts.append(F.struct(F.lit(c).alias("column_name"), (F.col(c).cast("double") if number else F.col(c).cast("string").try_cast("double")).alias("value"), (none if number else F.col(c).cast("string")).alias("text")))
+    parts += [F.struct(F.lit(c).alias("column_name"), e.cast("double").alias("value"), none.alias("text")) for c, e in (agreements or {}).items()]
+    long = df.select(F.col(load).alias("load_id"), F.explode(F.array(*parts)).alias("p")).select("load_id", "p.column_name", "p.value", "p.text")
+    n = long.groupBy("load_id", "column_name", "value", "text").agg(F.count(F.lit(1)).alias("n"))
+    whole = [c for c, t in kind.items() if isinstance(t, IntegralType)]
+    written = F.when(F.col("column_name").isin(whole), F.col("value").cast("decimal(38,0)").cast("string")).otherwise(F.col("value").cast("string"))
+    return n.withColumn("text", F.coalesce("text", written))
 
 
 def _in_range(checks: Mapping[str, Check]) -> Column:
+    """Present, and inside the column's range where it has one."""
     cond = F.lit(False)
     for c, k in checks.items():
-        cond = cond | ((F.col("column_name") == c) & F.col("value").between(k.lo, k.hi))
-    return F.coalesce(cond, F.lit(False)) & ~F.isnan("value")
+        held = F.col("value").between(k.lo, k.hi) & ~F.isnan("value") if k.lo is not None else F.col("text").isNotNull() & (F.col("text") != "NaN")
+        cond = cond | ((F.col("column_name") == c) & held)
+    return F.coalesce(cond, F.lit(False))
 
 
 def mask_profile(counts: DataFrame, checks: Mapping[str, Check]) -> DataFrame:
@@ -60,9 +81,7 @@ def mask_profile(counts: DataFrame, checks: Mapping[str, Check]) -> DataFrame:
 
     A value has exactly one mask, so distinct counts of masks add up to those of the column.
     """
-    whole = [c for c, k in checks.items() if k.whole]
-    text = F.when(F.col("column_name").isin(whole), F.col("value").cast("decimal(38,0)").cast("string")).otherwise(F.col("value").cast("string"))
-    d = counts.filter(F.col("column_name").isin(list(checks))).withColumn("mask", F.when(F.col("value").isNull(), "null").when(F.isnan("value"), "NaN").otherwise(mask(text)))
+    d = counts.filter(F.col("column_name").isin(list(checks))).withColumn("mask", F.when(F.col("text").isNull(), "null").when(F.col("text") == "NaN", "NaN").otherwise(mask(F.col("text"))))
     real = F.when(F.col("value").isNotNull() & ~F.isnan("value"), F.col("value"))
     ok = _in_range(checks)
     return d.groupBy("load_id", "column_name", "mask").agg(
@@ -102,6 +121,7 @@ def value_drift(counts: DataFrame, loads: DataFrame, checks: Mapping[str, Check]
     The gap is the maximum of a running sum of +share (load) and -share (reference) over the union of values. The sum
     runs in two levels of value blocks, so that no column of a load has to fit in one task.
     """
+    checks = {c: k for c, k in checks.items() if k.lo is not None}
     ok = counts.filter(F.col("column_name").isin(list(checks)) & _in_range(checks))
     total = ok.groupBy("load_id", "column_name").agg(F.sum("n").alias("total"))
     share = ok.join(total, ["load_id", "column_name"]).select("load_id", "column_name", "value", (F.col("n") / F.col("total")).alias("share"))
@@ -142,10 +162,30 @@ def rare_masks(masks: DataFrame, dominant: float = 0.01, rare: float = 0.001) ->
     return m.filter(F.col("share") < rare).join(main, ["load_id", "column_name"]).select("load_id", "column_name", "mask", "n_rows", "share", "min_value", "max_value", "n_dominant")
 
 
-def failed_checks(counts: DataFrame, loads: DataFrame, checks: Mapping[str, Check], agreements: Mapping[str, str], *, null_share: float = 0.05, range_share: float = 0.01, distinct_ratio: float = 3.0, drift: float = 0.15, mismatch_share: float = 0.02) -> DataFrame:
-    """(load_id, column_name, check_name) of all checks that fail; agreements maps pseudo-column to reported column."""
+def dominant_masks(masks: DataFrame, dominant: float = DOMINANT) -> DataFrame:
+    """(column_name, coarse_mask, n_rows, share): the patterns of a column, mined over all its loads."""
+    m = masks.filter(~F.col("mask").isin("null", "NaN")).groupBy("column_name", coarse(F.col("mask")).alias("coarse_mask")).agg(F.sum("n_rows").alias("n_rows"))
+    total = m.groupBy("column_name").agg(F.sum("n_rows").alias("total"))
+    return m.join(total, "column_name").withColumn("share", F.col("n_rows") / F.col("total")).filter(F.col("share") >= dominant).drop("total")
+
+
+def pattern_violations(masks: DataFrame, dominant: float = DOMINANT) -> DataFrame:
+    """(load, column, n_violating, n_present, share): present rows of a load outside the dominant masks of the column."""
+    main = dominant_masks(masks, dominant).select("column_name", "coarse_mask", F.lit(True).alias("_main"))
+    m = masks.filter(~F.col("mask").isin("null", "NaN")).withColumn("coarse_mask", coarse(F.col("mask"))).join(main, ["column_name", "coarse_mask"], "left")
+    out = m.groupBy("load_id", "column_name").agg(F.sum(F.when(F.col("_main").isNull(), F.col("n_rows")).otherwise(0)).alias("n_violating"), F.sum("n_rows").alias("n_present"))
+    return out.withColumn("share", F.col("n_violating") / F.col("n_present"))
+
+
+def failed_checks(counts: DataFrame, loads: DataFrame, checks: Mapping[str, Check], agreements: Mapping[str, str], *, null_share: float = 0.05, range_share: float = 0.01, distinct_ratio: float = 3.0, drift: float = 0.15, mismatch_share: float = 0.02, rare_share: float = 0.001, divergence: float = 0.1) -> DataFrame:
+    """(load_id, column_name, check_name) of all checks that fail; agreements maps pseudo-column to reported column.
+
+    `nulls`, `range` and `distinct` are read off the masks of a load, `rare_mask` (rows outside the column's dominant
+    masks) and `mask_drift` (divergence from the masks of the reference load) off all masks; `drift` and `mismatch` off the value counts.
+    """
     counts = cut_lineage(counts)  # every check reads the same counts
-    prof = column_profile(mask_profile(counts, checks))
+    masks = cut_lineage(mask_profile(counts, checks))
+    prof = column_profile(masks)
     flags = prof.select(
         "load_id",
         "column_name",
@@ -168,4 +208,6 @@ def failed_checks(counts: DataFrame, loads: DataFrame, checks: Mapping[str, Chec
         .filter(F.col("bad") > mismatch_share * F.col("all"))
         .select("load_id", named[F.col("column_name")].alias("column_name"), F.lit("mismatch").alias("check_name"))
     )
-    return flags.unionByName(distinct).unionByName(moved).unionByName(bad)
+    rare = pattern_violations(masks).filter(F.col("share") > rare_share).select("load_id", "column_name", F.lit("rare_mask").alias("check_name"))
+    other = mask_drift(masks, loads).filter(F.col("mask_divergence") > divergence).select("load_id", "column_name", F.lit("mask_drift").alias("check_name"))
+    return flags.unionByName(distinct).unionByName(moved).unionByName(bad).unionByName(rare).unionByName(other)

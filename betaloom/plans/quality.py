@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from betaloom.operators.hotdeck import Field, fill, hot_deck
-from betaloom.operators.profile import Check, column_profile, failed_checks, mask_drift, mask_profile, rare_masks, value_counts, value_drift
+from betaloom.operators.profile import Check, column_profile, dominant_masks, failed_checks, mask_drift, mask_profile, pattern_violations, rare_masks, value_counts, value_drift
+from betaloom.shared import cut_lineage
 from betaloom.sources.tables import table
 from betaloom.vocab import LOCATIONS
 
-CHECKS = {"beta": Check(0, 100), "depth": Check(1, 1000, True), "m": Check(0, 1000, True), "u": Check(0, 1000, True)}
+CHECKS = {"beta": Check(0, 100), "depth": Check(1, 1000), "m": Check(0, 1000), "u": Check(0, 1000)}
+#: Columns of text have patterns, but no range.
+ALL_CHECKS = {**CHECKS, "chrom": Check(), "fname": Check()}
 
 
 def usable_beta() -> Column:
@@ -67,19 +70,28 @@ def p2_location_filled(spark: SparkSession, d: str) -> DataFrame:
     return out.select("site_id", "location", "location_filled", "location_donor", "location_distance")
 
 
-def _counts(spark: SparkSession, d: str) -> DataFrame:
+def _counts(spark: SparkSession, d: str, checks: dict[str, Check] = CHECKS) -> DataFrame:
     agree = {
         "depth=m+u": F.when(F.col("m").isNotNull() & F.col("u").isNotNull() & F.col("depth").isNotNull(), (F.col("m") + F.col("u") != F.col("depth")).cast("int")),
         "beta=m/depth": F.when(F.col("m").isNotNull() & F.col("beta").isNotNull() & ~F.isnan("beta") & (F.col("depth") >= 1), (F.abs(F.col("beta") - F.lit(100.0) * F.col("m") / F.col("depth")) > 1.0).cast("int")),
     }
-    return value_counts(table(spark, d, "formatted_bedgraph"), "load_id", CHECKS, agree)
+    return value_counts(table(spark, d, "formatted_bedgraph"), "load_id", checks, agree)
 
 
 AGREEMENTS = {"depth=m+u": "depth", "beta=m/depth": "beta"}
 
 
+#: The checks that p5_found reports; the operator's others are in p5_pattern_checks.
+CASES = ("nulls", "range", "distinct", "drift", "mismatch")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return failed_checks(_counts(spark, d), table(spark, d, "loads"), CHECKS, AGREEMENTS)
+    return failed_checks(_counts(spark, d), table(spark, d, "loads"), CHECKS, AGREEMENTS).filter(F.col("check_name").isin(*CASES))
+
+
+def p5_pattern_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Loads and columns, text columns included, with rows outside the dominant masks, or masks unlike those of the reference load."""
+    return failed_checks(_counts(spark, d, ALL_CHECKS), table(spark, d, "loads"), ALL_CHECKS, AGREEMENTS).filter(~F.col("check_name").isin(*CASES))
 
 
 def p5_column_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -90,19 +102,32 @@ def p5_value_drift(spark: SparkSession, d: str) -> DataFrame:
     return value_drift(_counts(spark, d), table(spark, d, "loads"), CHECKS).select("load_id", "column_name", F.round("drift", 6).alias("drift"))
 
 
+def _masks(spark: SparkSession, d: str) -> DataFrame:
+    return mask_profile(_counts(spark, d, ALL_CHECKS), ALL_CHECKS)
+
+
 def p5_mask_profile(spark: SparkSession, d: str) -> DataFrame:
-    return mask_profile(_counts(spark, d), CHECKS)
+    return _masks(spark, d)
+
+
+def p5_dominant_masks(spark: SparkSession, d: str) -> DataFrame:
+    return dominant_masks(_masks(spark, d)).withColumn("share", F.round("share", 9))
+
+
+def p5_violations(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each load and column outside the column's dominant masks."""
+    return pattern_violations(cut_lineage(_masks(spark, d))).withColumn("share", F.round("share", 9))
 
 
 def p5_rare_masks(spark: SparkSession, d: str) -> DataFrame:
-    return rare_masks(mask_profile(_counts(spark, d), CHECKS))
+    return rare_masks(cut_lineage(_masks(spark, d))).withColumn("share", F.round("share", 9))
 
 
 def p5_mask_drift(spark: SparkSession, d: str) -> DataFrame:
-    return mask_drift(mask_profile(_counts(spark, d), CHECKS), table(spark, d, "loads"))
+    return mask_drift(cut_lineage(_masks(spark, d)), table(spark, d, "loads")).withColumn("mask_divergence", F.round("mask_divergence", 6))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_low_depth_cells, p2_low_depth_cells_whole, p2_low_depth_filled, p2_location_filled, p5_found, p5_column_profile, p5_value_drift, p5_mask_profile, p5_rare_masks, p5_mask_drift)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_low_depth_cells, p2_low_depth_cells_whole, p2_low_depth_filled, p2_location_filled, p5_found, p5_column_profile, p5_value_drift, p5_pattern_checks, p5_mask_profile, p5_dominant_masks, p5_violations, p5_rare_masks, p5_mask_drift)}
 
 _LOCS = ", ".join(f"'{x.lower()}'" for x in LOCATIONS)
 _BETA = "case when not isnan(beta) and beta between -0.5 and 100.5 then beta end"
@@ -117,6 +142,26 @@ select load_id, 'beta' as column_name, case when isnan(beta) then null else beta
 union all select load_id, 'depth', depth, 1, 1000 from formatted_bedgraph
 union all select load_id, 'm', m, 0, 1000 from formatted_bedgraph
 union all select load_id, 'u', u, 0, 1000 from formatted_bedgraph"""
+# masks of the text of each value, as both engines write it down to 0.001
+_MASKS = """with long as (
+select load_id, 'beta' as column_name, beta as v, cast(beta as varchar) as t, 0 as lo, 100 as hi from formatted_bedgraph
+union all select load_id, 'depth', depth, cast(depth as varchar), 1, 1000 from formatted_bedgraph
+union all select load_id, 'm', m, cast(m as varchar), 0, 1000 from formatted_bedgraph
+union all select load_id, 'u', u, cast(u as varchar), 0, 1000 from formatted_bedgraph
+union all select load_id, 'chrom', try_cast(chrom as double), chrom, null, null from formatted_bedgraph
+union all select load_id, 'fname', null, fname, null, null from formatted_bedgraph),
+t as (select load_id, column_name, case when t is null then 'null' when t = 'nan' then 'NaN' else regexp_replace(regexp_replace(t, '\\p{L}', 'a', 'g'), '\\p{Nd}', '9', 'g') end as mask, case when t <> 'nan' then v end as v, t,
+ t is not null and t <> 'nan' and (lo is null or v between lo and hi) as ok from long),
+masks as (select load_id, column_name, mask, count(*) as n_rows, greatest(count(distinct t), 1) as n_distinct, count(*) filter (ok) as n_in_range, count(distinct t) filter (ok) as n_distinct_in_range,
+ cast(min(v) as double) as min_value, cast(max(v) as double) as max_value from t group by all),
+present as (select *, regexp_replace(regexp_replace(mask, '9+', '9', 'g'), 'a+', 'a', 'g') as coarse_mask from masks where mask not in ('null', 'NaN')),
+main as (select column_name, coarse_mask, cast(sum(n_rows) as bigint) as n_rows, sum(n_rows) / any_value(total) as share from present join (select column_name, sum(n_rows) as total from present group by 1) c using (column_name) group by 1, 2 having sum(n_rows) / any_value(total) >= 0.01),
+outside as (select load_id, p.column_name, cast(sum(case when m.share is null then p.n_rows else 0 end) as bigint) as n_violating, cast(sum(p.n_rows) as bigint) as n_present from present p left join main m on p.column_name = m.column_name and p.coarse_mask = m.coarse_mask group by all),
+shares as (select load_id, column_name, mask, n_rows / sum(n_rows) over (partition by load_id, column_name) as s from masks),
+pq as (select load_id, column_name, mask, sum(p) as p, sum(q) as q from (select load_id, column_name, mask, s as p, 0 as q from shares join loads using (load_id) where ref_load_id is not null
+ union all select l.load_id, column_name, mask, 0, s from shares s join loads l on s.load_id = l.ref_load_id) x group by all),
+moved as (select load_id, column_name, sum(case when p > 0 then p * log2(2 * p / (p + q)) else 0 end) / 2 + sum(case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2 as mask_divergence from pq group by all)
+"""
 _DRIFT = f"""
 long as ({_LONG}),
 cnt as (select load_id, column_name, v, count(*) as n from long where v between lo and hi group by all),
@@ -140,6 +185,16 @@ select field, row_id, round(cast(case when fw then q.v else p.v end as double),
 select load_id, column_name, count(*) as n_rows, count(*) - count(v) as n_null, count(v) as n_present, count(*) filter (v between lo and hi) as n_in_range,
  count(distinct v) as n_distinct, count(distinct v) filter (v between lo and hi) as n_distinct_in_range, cast(min(v) as double) as min_value, cast(max(v) as double) as max_value
 from long group by all""",
+    "p5_mask_profile": _MASKS + "select * from masks",
+    "p5_dominant_masks": _MASKS + "select column_name, coarse_mask, n_rows, round(share, 9) as share from main",
+    "p5_violations": _MASKS + "select load_id, column_name, n_violating, n_present, round(n_violating / n_present, 9) as share from outside",
+    "p5_rare_masks": _MASKS
+    + """, c as (select *, n_rows / sum(n_rows) over (partition by load_id, column_name) as s from present), d as (select load_id, column_name, count(*) as n_dominant from c where s >= 0.01 group by all)
+select load_id, column_name, mask, n_rows, round(s, 9) as share, min_value, max_value, n_dominant from c join d using (load_id, column_name) where s < 0.001""",
+    "p5_mask_drift": _MASKS + "select load_id, column_name, round(mask_divergence, 6) as mask_divergence from moved",
+    "p5_pattern_checks": _MASKS
+    + """select load_id, column_name, 'rare_mask' as check_name from outside where n_violating / n_present > 0.001
+union all select load_id, column_name, 'mask_drift' from moved where mask_divergence > 0.1""",
     "p5_value_drift": f"with {_DRIFT} select load_id, column_name, round(drift, 6) as drift from drift",
     "p5_found": f"""with {_DRIFT},
 prof as (select load_id, column_name, count(*) as n, count(v) as c, count(*) filter (v is not null and not (v between lo and hi)) as o, count(distinct v) filter (v between lo and hi) as dist from long group by all)

@@ -2,9 +2,9 @@ import math
 
 from pyspark.sql import functions as F
 
-from betaloom.operators.profile import Check, column_profile, failed_checks, mask, mask_drift, mask_profile, rare_masks, value_counts, value_drift
+from betaloom.operators.profile import Check, coarse, column_profile, dominant_masks, failed_checks, mask, mask_drift, mask_profile, pattern_violations, rare_masks, value_counts, value_drift
 
-CHECKS = {"x": Check(0, 100), "k": Check(1, 10, True)}
+CHECKS = {"x": Check(0, 100), "k": Check(1, 10)}
 LOADS = [(1, None), (2, 1), (3, 9), (4, 4)]
 
 
@@ -48,6 +48,27 @@ def test_masks_report_rare_and_moved(spark):
     assert 0 < got[2, "x"] < 0.001 and got[2, "k"] == 0.0
 
 
+def test_text_columns_have_patterns(spark):
+    rows = [(1, f"chr{i % 22 + 1}") for i in range(990)] + [(1, None)] * 5 + [(2, "chr1")] * 300 + [(2, "Chr 1"), (2, ""), (2, "7")]
+    checks = {"c": Check(), "d": Check(0, 5)}
+    d = spark.createDataFrame([(a, b, b if b == "7" else "3") for a, b in rows], "load long, c string, d string")
+    m = mask_profile(value_counts(d, "load", checks), checks)
+    assert {(r["load_id"], r["mask"], r["n_rows"]) for r in m.filter("column_name = 'c'").collect()} == {(1, "aaa9", 405), (1, "aaa99", 585), (1, "null", 5), (2, "aaa9", 300), (2, "aaa 9", 1), (2, "", 1), (2, "9", 1)}
+    assert [(r["coarse_mask"], r["n_rows"]) for r in dominant_masks(m).filter("column_name = 'c'").collect()] == [("a9", 1290)]
+    got = {(r["load_id"], r["column_name"]): (r["n_violating"], r["n_present"]) for r in pattern_violations(m).collect()}
+    assert got == {(1, "c"): (0, 990), (2, "c"): (3, 303), (1, "d"): (0, 995), (2, "d"): (0, 303)}
+    prof = {(r["load_id"], r["column_name"]): r for r in column_profile(m).collect()}
+    assert prof[2, "d"]["n_in_range"] == 302 and prof[2, "d"]["max_value"] == 7 and prof[1, "c"]["n_null"] == 5 and prof[1, "c"]["n_distinct"] == 22
+    loads = spark.createDataFrame([(1, None), (2, 1)], "load_id long, ref_load_id long")
+    failed = {tuple(r) for r in failed_checks(value_counts(d, "load", checks), loads, checks, {}).collect()}
+    assert (2, "c", "rare_mask") in failed and (2, "c", "mask_drift") in failed and not any(r[0] == 1 and r[2] == "rare_mask" for r in failed)
+
+
+def test_coarse_mask(spark):
+    got = spark.createDataFrame([("999.99",), ("aa9_a9_9",), ("",), (None,)], "t string").select(coarse(F.col("t"))).collect()
+    assert [r[0] for r in got] == ["9.9", "a9_a9_9", "", None]
+
+
 def test_empty(spark):
     c = counts(spark, [])
     loads = spark.createDataFrame([], "load_id long, ref_load_id long")
