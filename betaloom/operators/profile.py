@@ -6,7 +6,7 @@ off these counts: null shares, ranges, distinct counts, dominant and rare masks,
 and of masks moved from the reference load. Dominant masks are mined per column over all loads; rows outside them violate
 the column's patterns.
 
-Defined results: a NaN counts as null (mask `NaN`); an infinite value is present and out of range; a text column has masks
+Defined results: a NaN counts as null (mask `NaN`); a negative zero is zero; an infinite value is present and out of range; a text column has masks
 and distinct counts, and a range only where one is given, which its numbers are held to; a null load id is a
 load of its own, without reference; an empty table gives no rows; columns not named in the specification are not read,
 so that extra columns cannot clash.
@@ -200,7 +200,7 @@ def failed_checks(counts: DataFrame, loads: DataFrame, checks: Mapping[str, Chec
     ref = d.select(F.col("load_id").alias("ref_load_id"), "column_name", F.col("n_distinct_in_range").alias("_ref"))
     distinct = _references(loads).join(d, "load_id").join(ref, ["ref_load_id", "column_name"]).filter(F.col("n_distinct_in_range") * distinct_ratio < F.col("_ref")).select("load_id", "column_name", F.lit("distinct").alias("check_name"))
     moved = value_drift(counts, loads, checks).filter(F.col("drift") > drift).select("load_id", "column_name", F.lit("drift").alias("check_name"))
-    named = F.create_map(*[F.lit(x) for kv in agreements.items() for x in kv])
+    named = F.create_map(*[F.lit(x) for kv in (agreements or {"": ""}).items() for x in kv])
     bad = (
         counts.filter(F.col("column_name").isin(list(agreements)) & F.col("value").isNotNull())
         .groupBy("load_id", "column_name")

@@ -142,9 +142,9 @@ select load_id, 'beta' as column_name, case when isnan(beta) then null else beta
 union all select load_id, 'depth', depth, 1, 1000 from formatted_bedgraph
 union all select load_id, 'm', m, 0, 1000 from formatted_bedgraph
 union all select load_id, 'u', u, 0, 1000 from formatted_bedgraph"""
-# masks of the text of each value, as both engines write it down to 0.001
+# masks of the text of each value, as both engines write it down to 0.001; zero has no sign
 _MASKS = """with long as (
-select load_id, 'beta' as column_name, beta as v, cast(beta as varchar) as t, 0 as lo, 100 as hi from formatted_bedgraph
+select load_id, 'beta' as column_name, beta as v, cast(beta + 0.0e0 as varchar) as t, 0 as lo, 100 as hi from formatted_bedgraph
 union all select load_id, 'depth', depth, cast(depth as varchar), 1, 1000 from formatted_bedgraph
 union all select load_id, 'm', m, cast(m as varchar), 0, 1000 from formatted_bedgraph
 union all select load_id, 'u', u, cast(u as varchar), 0, 1000 from formatted_bedgraph
