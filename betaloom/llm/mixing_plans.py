@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from betaloom.llm.mixing import mix, plain
+from betaloom.llm.packing_plans import SIZES
 from betaloom.llm.tokens import VOCABULARY, token_count
 from betaloom.shared import cut_lineage, spread
 from betaloom.sources.tables import table
@@ -32,4 +33,7 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p7_found, p7_mix, p7_report)}
-SQL: dict[str, str] = {}
+SQL = {
+    "p7_found": f"""with s as ({SIZES}), per as (select lower(trim(source)) as source, sum(size) as size from s group by 1)
+select t.source from mix_targets t left join per p on p.source = lower(trim(t.source)) where t.max_repeats * coalesce(p.size, 0) < t.target_share * (select sum(size) from s)""",
+}
