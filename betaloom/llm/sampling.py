@@ -32,6 +32,11 @@ def need() -> Column:
     return F.greatest(F.coalesce(F.col("min_rows"), F.lit(0)), F.coalesce(F.round(F.col("target_share") * F.col("draw_size")).cast("long"), F.lit(0)))
 
 
+def _digits(*parts: Column | str, digits: int) -> Column:
+    """A whole number from the first hexadecimal digits of the md5 of the parts, an order that every engine shares."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(p).cast("string") if isinstance(p, str) else p for p in parts])), 1, digits), 16, 10).cast("long")
+
+
 def available(candidates: DataFrame, targets: DataFrame) -> DataFrame:
     """targets with `n`, the number of candidates (draw_id, category, key columns; already distinct) of each."""
     n = candidates.groupBy("draw_id", "category").agg(F.count(F.lit(1)).alias("n"))
@@ -49,7 +54,7 @@ def _plan(avail: DataFrame, seed: int) -> DataFrame:
     d = d.withColumn("pi", F.when(F.col("n") > 0, F.least(F.lit(1.0), share / F.col("n"))).otherwise(0.0))
     before = draw.orderBy("category").rowsBetween(W.unboundedPreceding, -1)
     d = d.withColumn("base", F.coalesce(F.sum(F.col("pi") * F.col("n")).over(before), F.lit(0.0)))
-    d = d.withColumn("start", F.xxhash64(F.lit(seed), "draw_id") / F.lit(2.0**64) + 0.5)
+    d = d.withColumn("start", _digits(F.lit(str(seed)), "draw_id", digits=12) / F.lit(2.0**48))
     d = d.withColumn("from", F.floor(F.col("base") + F.col("start") + 1e-9))
     d = d.withColumn("taken", F.floor(F.col("base") + F.col("pi") * F.col("n") + F.col("start") + 1e-9) - F.col("from"))
     return d.withColumn("repair", F.greatest(F.col("floor") - F.col("taken"), F.lit(0)))
@@ -58,17 +63,17 @@ def _plan(avail: DataFrame, seed: int) -> DataFrame:
 def draw(candidates: DataFrame, targets: DataFrame, key_cols: Sequence[str], seed: int = 28) -> tuple[DataFrame, DataFrame]:
     """(sample, report). candidates: draw_id, category and key_cols, distinct. targets: draw_id, category, target_share, draw_size, min_rows.
 
-    sample has the candidates taken, with `pi` and `repaired`; report has every target with its need, the candidates
-    there are, the rows taken and whether its need can be met.
+    sample has the candidates taken, with `pi` and `repaired`; report has every target with its share, its need, the candidates
+    there are, the rows taken and whether its need can be met. Floors above their shares add to the size of a draw.
     """
     candidates = cut_lineage(candidates)  # counted, then ranked
     plan = cut_lineage(_plan(available(candidates, targets), seed))
-    c = candidates.withColumn("_h", F.xxhash64(F.lit(seed), "draw_id", *key_cols))
-    r = blocked_rank(c, ["draw_id", "category"], "_h", list(key_cols), "_r")
+    c = candidates.withColumn("_h", _digits(F.lit(str(seed)), "draw_id", *key_cols, digits=15))
+    r = blocked_rank(c, ["draw_id", "category"], "_h", list(key_cols), "_r", span=(0.0, 2.0**60))
     d = r.join(sized(plan.select("draw_id", "category", F.col("pi").alias("_pi"), F.col("base").alias("_base"), F.col("start").alias("_start"), F.col("from").alias("_from"), F.col("repair").alias("_repair"))), ["draw_id", "category"])
     upto = F.floor(F.col("_base") + F.col("_r") * F.col("_pi") + F.col("_start") + 1e-9)
     prior = F.floor(F.col("_base") + (F.col("_r") - 1) * F.col("_pi") + F.col("_start") + 1e-9)
     d = d.withColumn("_hit", upto > prior).withColumn("_miss_no", F.col("_r") - (upto - F.col("_from")))
     sample = d.filter(F.col("_hit") | (F.col("_miss_no") <= F.col("_repair"))).select("draw_id", "category", *key_cols, F.col("_pi").alias("pi"), (~F.col("_hit")).alias("repaired"))
-    report = plan.select("draw_id", "category", need().alias("need"), F.col("n").alias("available"), (F.col("taken") + F.col("repair")).alias("taken"), (need() > F.col("n")).alias("short"))
+    report = plan.select("draw_id", "category", "draw_size", "target_share", need().alias("need"), F.col("n").alias("available"), (F.col("taken") + F.col("repair")).alias("taken"), (need() > F.col("n")).alias("short"))
     return sample, report

@@ -20,35 +20,44 @@ from pyspark.sql import functions as F
 
 from betaloom.shared import cut_lineage, sized
 
-#: Keeps the bucket numbers of all finite doubles positive, so that sign and number make one ordered key.
-SHIFT = 200_000
+#: The least shift of bucket numbers, and the greatest size of a finite double's logarithm.
+SHIFT, LOG_MOST = 200_000, 746.0
+#: Cells into which a bucket is cut where its values have to be ordered.
+CELLS = 4096
 
 
 def growth(alpha: float) -> float:
     return (1 + alpha) / (1 - alpha)
 
 
+def shift(alpha: float) -> int:
+    """Keeps the bucket numbers of all finite doubles positive, so that sign and number make one ordered key."""
+    if not 1e-6 <= alpha < 1:
+        raise ValueError("alpha must be at least 1e-6 and below 1")
+    return max(SHIFT, math.ceil(LOG_MOST / math.log(growth(alpha))) + 2)
+
+
 def bucket(x: Column, alpha: float) -> Column:
     """Ordered bucket key: negative buckets, 0, positive buckets, in the order of the values they hold."""
-    size = F.ceil(F.ln(F.abs(x)) / math.log(growth(alpha))).cast("int") + SHIFT
+    size = F.ceil(F.ln(F.abs(x)) / math.log(growth(alpha))).cast("int") + shift(alpha)
     return F.when(x == 0, 0).when(x > 0, size).otherwise(-size)
 
 
 def lower(key: Column, alpha: float) -> Column:
     """Least value of a bucket; a hair wider than its nominal bound, for rounding in the logarithm."""
-    g = math.log(growth(alpha))
-    return F.when(key == 0, 0.0).when(key > 0, F.exp((key - SHIFT - 1) * g) * (1 - 1e-9)).otherwise(-F.exp((-key - SHIFT) * g) * (1 + 1e-9))
+    g, s = math.log(growth(alpha)), shift(alpha)
+    return F.when(key == 0, 0.0).when(key > 0, F.exp((key - s - 1) * g) * (1 - 1e-9)).otherwise(-F.exp((-key - s) * g) * (1 + 1e-9))
 
 
 def upper(key: Column, alpha: float) -> Column:
-    g = math.log(growth(alpha))
-    return F.when(key == 0, 0.0).when(key > 0, F.exp((key - SHIFT) * g) * (1 + 1e-9)).otherwise(-F.exp((-key - SHIFT - 1) * g) * (1 - 1e-9))
+    g, s = math.log(growth(alpha)), shift(alpha)
+    return F.when(key == 0, 0.0).when(key > 0, F.exp((key - s) * g) * (1 + 1e-9)).otherwise(-F.exp((-key - s - 1) * g) * (1 - 1e-9))
 
 
 def middle(key: Column, alpha: float) -> Column:
     """The value within alpha of every value of the bucket."""
     g = growth(alpha)
-    return F.when(key == 0, 0.0).otherwise(F.signum(key.cast("double")) * 2 * F.exp((F.abs(key) - SHIFT) * math.log(g)) / (g + 1))
+    return F.when(key == 0, 0.0).otherwise(F.signum(key.cast("double")) * 2 * F.exp((F.abs(key) - shift(alpha)) * math.log(g)) / (g + 1))
 
 
 def _long(df: DataFrame, keys: Sequence[str], fields: Mapping[str, tuple[float, float] | None]) -> DataFrame:
@@ -104,15 +113,22 @@ def exact(df: DataFrame, keys: Sequence[str], fields: Mapping[str, tuple[float,
     """(keys, field, q, value): exact percentiles for rows of `percentiles`, from only the rows in the buckets they name.
 
     wanted must be small enough to have been counted by the caller (see sized()); rows are joined to its buckets before
-    anything is shuffled, and equal values are counted before they are ordered.
+    anything is shuffled, and equal values are counted before they are ordered. A bucket is cut into cells, whose counts
+    tell the cell that holds an order statistic, so that only the values of that cell are ordered in one task.
     """
-    need = wanted.select(*keys, "field", "q", "frac", F.explode(F.array(F.struct(F.lit("k").alias("which"), F.col("k_bucket").alias("bucket"), F.col("k_offset").alias("offset")), F.struct(F.lit("j").alias("which"), F.col("j_bucket").alias("bucket"), F.col("j_offset").alias("offset")))).alias("x")).select(*keys, "field", "q", "frac", "x.*")
-    need = cut_lineage(need)
-    rows = _long(df, keys, fields).withColumn("bucket", bucket(F.col("value"), alpha))
-    on = [*keys, "field", "bucket"]
+    ends = F.array(*[F.struct(F.lit(w).alias("which"), F.col(f"{w}_bucket").alias("bucket"), F.col(f"{w}_offset").alias("offset")) for w in "kj"])
+    need = cut_lineage(wanted.select(F.struct(*keys).alias("_key"), "field", "q", "frac", F.explode(ends).alias("x")).select("_key", "field", "q", "frac", "x.*"))
+    rows = _long(df, keys, fields).select(F.struct(*keys).alias("_key"), "field", "value", bucket(F.col("value"), alpha).alias("bucket"))
+    on = ["_key", "field", "bucket"]
     values = rows.join(sized(need.select(*on).distinct()), on).groupBy(*on, "value").agg(F.count(F.lit(1)).alias("n"))
-    w = W.partitionBy(*on).orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    values = values.withColumn("upto", F.sum("n").over(w))
-    hit = values.join(need, on).filter((F.col("offset") < F.col("upto")) & (F.col("offset") >= F.col("upto") - F.col("n")))
-    both = hit.groupBy(*keys, "field", "q", "frac").agg(F.max(F.when(F.col("which") == "k", F.col("value"))).alias("a"), F.max(F.when(F.col("which") == "j", F.col("value"))).alias("b"))
-    return both.select(*keys, "field", "q", (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("value"))
+    lo, hi = lower(F.col("bucket"), alpha), upper(F.col("bucket"), alpha)
+    cell = F.when(hi > lo, F.floor((F.col("value") - lo) / F.when(hi > lo, hi - lo) * CELLS)).otherwise(0)
+    values = cut_lineage(values.withColumn("cell", F.greatest(F.least(cell, F.lit(CELLS - 1)), F.lit(0)).cast("int")))
+    inside = lambda by, order: W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    holds = (F.col("offset") < F.col("upto")) & (F.col("offset") >= F.col("upto") - F.col("n"))
+    cells = values.groupBy(*on, "cell").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(inside(on, "cell")))
+    at = cut_lineage(cells.join(sized(need), on).filter(holds).withColumn("offset", F.col("offset") - F.col("upto") + F.col("n")).drop("n", "upto"))
+    on.append("cell")
+    hit = values.join(sized(at.select(*on).distinct()), on).withColumn("upto", F.sum("n").over(inside(on, "value"))).join(sized(at), on).filter(holds)
+    both = hit.groupBy("_key", "field", "q", "frac").agg(F.max(F.when(F.col("which") == "k", F.col("value"))).alias("a"), F.max(F.when(F.col("which") == "j", F.col("value"))).alias("b"))
+    return both.select(*[F.col("_key")[k].alias(k) for k in keys], "field", "q", (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("value"))

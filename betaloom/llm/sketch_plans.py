@@ -49,6 +49,14 @@ def p1_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return p.select("fname", "field", "q", "n", "estimate", "low", "high")
 
 
+def p1_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the bounds of each percentile hold its exact value, which is looked up in the buckets the sketch names."""
+    q = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+    p = cut_lineage(percentiles(merge(_parts(spark, d), ["fname"]), ["fname"], {"beta": q, "depth": q}, ALPHA))
+    v = exact(table(spark, d, "formatted_bedgraph"), ["fname"], FIELDS, p, ALPHA)
+    return p.join(v, ["fname", "field", "q"], "left").select("fname", "field", "q", "n", F.col("value").between(F.col("low"), F.col("high")).alias("within"))
+
+
 def p1_exact_percentiles(spark: SparkSession, d: str) -> DataFrame:
     """Per sample: the exact percentiles that the sketch locates."""
     p = percentiles(merge(_parts(spark, d), ["fname"]), ["fname"], {"beta": [0.05, 0.5], "depth": [0.1, 0.9]}, ALPHA)
@@ -59,7 +67,7 @@ def p1_partial_counts(spark: SparkSession, d: str) -> DataFrame:
     return _parts(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_percentiles, p1_exact_percentiles, p1_partial_counts)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_percentiles, p1_bounds, p1_exact_percentiles, p1_partial_counts)}
 
 _OK = """b as (select fname, beta as x from formatted_bedgraph where not isnan(beta) and beta between 0 and 100),
 z as (select fname, depth as x from formatted_bedgraph where depth between 1 and 1000)"""
@@ -68,6 +76,8 @@ SQL = {
     "p1_found": f"""with {_OK}, p as (select fname, quantile_cont(x, 0.05) as q5 from b group by 1), r as (select fname, quantile_cont(x, 0.1) as lo, quantile_cont(x, 0.9) as hi from z group by 1)
 select s.fname, 'beta_q5' as field from sample_metadata s join p using (fname) where not isnan(beta_q5) and abs(beta_q5 - q5) > 3.0
 union all select s.fname, 'depth_peak1' from sample_metadata s join r using (fname) where not isnan(depth_peak1) and depth_peak1 >= 0 and not (depth_peak1 between lo and hi)""",
+    "p1_bounds": f"""with {_OK} select fname, field, unnest([0.01e0, 0.05e0, 0.25e0, 0.5e0, 0.75e0, 0.95e0, 0.99e0]) as q, n, true as within
+from (select fname, 'beta' as field, count(*) as n from b group by 1 union all select fname, 'depth', count(*) from z group by 1) c""",
     "p1_exact_percentiles": f"""with {_OK}, v as (
 select fname, 'beta' as field, unnest([0.05e0, 0.5e0]) as q, unnest(quantile_cont(x, [0.05, 0.5])) as value from b group by fname
 union all select fname, 'depth', unnest([0.1e0, 0.9e0]), unnest(quantile_cont(x, [0.1, 0.9])) from z group by fname)

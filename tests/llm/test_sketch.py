@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as stg
 
@@ -52,3 +53,33 @@ def test_bucket_width_is_relative(x):
     i = math.ceil(math.log(x) / math.log(g))
     middle = 2 * math.exp(i * math.log(g)) / (g + 1)
     assert abs(middle - x) <= ALPHA * x * (1 + 1e-6)
+
+
+def test_small_alpha_keeps_sign_order_and_bound(spark):
+    xs = [1e-300, 1e-250, 1e-240, 1e-230, 1e-3, 1.0, 1e200, 1e300]
+    rows = [("a", 0, s * x) for x in xs for s in (1, -1)] + [("a", 0, 0.0)]
+    true = sorted(v for _, _, v in rows)
+    q = [i / (len(true) - 1) for i in range(len(true))]
+    for alpha in (1e-3, 1e-4, 1e-6):
+        p = percentiles(partial_counts(table(spark, rows), ["k"], {"x": None}, alpha), ["k"], {"x": q}, alpha)
+        got = {r["q"]: r for r in p.collect()}
+        for x, at in zip(true, q, strict=True):
+            r = got[at]
+            near = min(true, key=lambda v: abs(r["estimate"] - v))
+            assert r["low"] <= r["estimate"] <= r["high"] and r["low"] <= x <= r["high"] and near == x
+            if r["frac"] == 0:
+                assert abs(r["estimate"] - x) <= alpha * abs(x) * (1 + 1e-6)
+    with pytest.raises(ValueError, match="alpha"):
+        growth_of = partial_counts(table(spark, rows), ["k"], {"x": None}, 0.0)
+        growth_of.count()
+
+
+def test_exact_orders_many_values_of_one_bucket_and_null_keys(spark):
+    rnd = random.Random(3)
+    rows = [(k, 0, 50 + rnd.random() / 1000) for k in ("a", None) for _ in range(3000)] + [(None, 0, 50.0)] * 4000
+    d = table(spark, rows)
+    p = percentiles(partial_counts(d, ["k"], {"x": None}, ALPHA), ["k"], {"x": Q}, ALPHA)
+    got = {(r["k"], r["q"]): r["value"] for r in exact(d, ["k"], {"x": None}, p, ALPHA).collect()}
+    for k in ("a", None):
+        x = np.array([v for kk, _, v in rows if kk == k])
+        assert all(math.isclose(got[k, q], np.percentile(x, 100 * q), rel_tol=1e-12) for q in Q)
