@@ -257,7 +257,8 @@ def pack(items: DataFrame, capacity: int, seed: int = 17, containers: int = CONT
     hist = parts.groupBy("program", "length").agg(F.count(F.lit(1)).alias("n"))
     solve = lambda pdf: _slots(pdf, capacity)
     schema = "length long, first long, per long, base long, program int, containers long, steps long, knapsacks long, covered double, bound double"
-    slots = cut_lineage(hist.groupBy("program").applyInPandas(solve, schema))
+    # a partition of their own for programs, which are few rows and much work
+    slots = cut_lineage(hist.repartition(2 * programs, "program").groupBy("program").applyInPandas(solve, schema))
     stats = ["containers", "steps", "knapsacks", "covered", "bound"]
     each = slots.groupBy("program").agg(*[F.max(c).alias(c) for c in stats])
     # a row a program, PROGRAMS at most
