@@ -137,6 +137,32 @@ select row_id, '{field}' as field, {v} as v, start,
  last_value(case when {v} is not null then {{'p': start, 'i': row_id, 'v': {v}}} end ignore nulls) over (partition by fname, chrom order by start, row_id rows between unbounded preceding and 1 preceding) as p,
  first_value(case when {v} is not null then {{'p': start, 'i': row_id, 'v': {v}}} end ignore nulls) over (partition by fname, chrom order by start, row_id rows between 1 following and unbounded following) as q
 from low_depth"""
+
+
+def _deck(name: str, rows: str, row_id: str, value: str, levels: dict[str, list[str]]) -> str:
+    """Common table expressions that fill the cells of one field level by level; the last, `name`, has (id, d, level)."""
+    groups = list(dict.fromkeys(g for gs in levels.values() for g in gs))
+    over = lambda gs, frame: f"over ({'partition by ' + ', '.join(gs) if gs else ''} order by pos, id rows between {frame})"
+    donor = "case when v is not null then {'p': pos, 'i': id, 'v': v} end ignore nulls"
+    cols = ", ".join(["id", "pos", *groups])
+    out, done = [f"{name}_rows as (select {row_id} as id, start as pos, {''.join(g + ', ' for g in groups)}{value} as v from {rows})"], []
+    src = f"{name}_rows"
+    for i, (level, gs) in enumerate({**levels, "any": []}.items()):
+        if i:
+            key = ", ".join([*gs, "pos"])
+            rest = "".join(f", null as {g}" for g in groups if g not in gs)
+            src = f"{name}_src{i}"
+            out.append(f"{src} as (select id, pos, {''.join(g + ', ' for g in groups)}v from (select {key}, min(id) as id, arg_min(v, id) as v{rest} from {name}_rows where v is not null group by {key}) d union all select {cols}, null from {name}_{i - 1} where d is null)")
+        out.append(f"""{name}_{i} as (select {cols}, case when q is not null and (p is null or q.p - pos < pos - p.p) then q else p end as d, '{level}' as level from (
+select *, last_value({donor}) {over(gs, 'unbounded preceding and 1 preceding')} as p, first_value({donor}) {over(gs, '1 following and unbounded following')} as q from {src}) w where v is null)""")
+        done.append(f"select id, d, level from {name}_{i} where d is not null")
+    return ",\n".join([*out, f"{name} as ({' union all '.join(done)} union all select id, d, 'none' from {name}_{i} where d is null)"])
+
+
+_LEVELS = {"sample": ["fname", "chrom"], "stretch": ["chrom"]}
+_BETA_CELLS, _DEPTH_CELLS = _deck("beta_cells", "low_depth", "row_id", f"({_BETA})", _LEVELS), _deck("depth_cells", "low_depth", "row_id", f"({_DEPTH})", _LEVELS)
+_LOCATION = "case lower(trim(location)) " + " ".join(f"when '{x.lower()}' then '{x}'" for x in LOCATIONS) + " end"
+_FILLED = "coalesce({v}, c.d.v) as {f}, {v} is null and c.d.v is not null as {f}_filled, c.d.i as {f}_donor, abs(c.d.p - t.start) as {f}_distance"
 _LONG = """
 select load_id, 'beta' as column_name, case when isnan(beta) then null else beta end as v, 0 as lo, 100 as hi from formatted_bedgraph
 union all select load_id, 'depth', depth, 1, 1000 from formatted_bedgraph
@@ -181,6 +207,11 @@ union all select 'annotation.location', site_id from annotation where location i
 b as (select *, q is not null and (p is null or q.p - start < start - p.p) as fw from c where v is null and (p is not null or q is not null))
 select field, row_id, round(cast(case when fw then q.v else p.v end as double), 6) as value, case when fw then q.i else p.i end as donor_id,
  abs(case when fw then q.p else p.p end - start) as distance from b""",
+    "p2_low_depth_cells_whole": f"with {_BETA_CELLS}, {_DEPTH_CELLS} "
+    + " union all ".join(f"select 'low_depth.{f}' as field, id as row_id, round(cast(d.v as double), 6) as value, d.i as donor_id, abs(d.p - start) as distance, level from {f}_cells join low_depth on id = row_id" for f in ("beta", "depth")),
+    "p2_low_depth_filled": f"""with {_BETA_CELLS}, {_DEPTH_CELLS}
+select t.row_id, fname, chrom, t.start, {_FILLED.format(v=_DEPTH, f="depth")}, {_FILLED.format(v=_BETA, f="beta").replace("c.d", "b.d")} from low_depth t left join depth_cells c on c.id = t.row_id left join beta_cells b on b.id = t.row_id""",
+    "p2_location_filled": f"with {_deck('cells', 'annotation', 'site_id', _LOCATION, {'stretch': ['chrom']})} select t.site_id, {_FILLED.format(v=_LOCATION, f='location')} from annotation t left join cells c on c.id = t.site_id",
     "p5_column_profile": f"""with long as ({_LONG})
 select load_id, column_name, count(*) as n_rows, count(*) - count(v) as n_null, count(v) as n_present, count(*) filter (v between lo and hi) as n_in_range,
  count(distinct v) as n_distinct, count(distinct v) filter (v between lo and hi) as n_distinct_in_range, cast(min(v) as double) as min_value, cast(max(v) as double) as max_value
