@@ -12,6 +12,7 @@ from betaloom.operators import stats as st
 from betaloom.operators.evaluate import pinball, rmse
 from betaloom.shared import cut_lineage
 from betaloom.sources.tables import table
+from betaloom.vocab import BETA_STATS, DEPTH_STATS
 
 SITE = ["chrom", "start", "stop"]
 LABS = [*[f"BS{i}" for i in range(1, 5)], *[f"EM{i}" for i in range(1, 5)], "PS1", "PS2", "PS3", "RR1"]
@@ -53,7 +54,11 @@ def histogram_entropy(spark: SparkSession, d: str) -> DataFrame:
 
 
 def kde_peaks(spark: SparkSession, d: str) -> DataFrame:
-    return st.kde_peaks(_counts(spark, d))
+    return _rounded(st.kde_peaks(_counts(spark, d)))
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[r6(F.col(c), c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def peak_padding(spark: SparkSession, d: str) -> DataFrame:
@@ -66,11 +71,11 @@ def _full(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stats_merge(spark: SparkSession, d: str) -> DataFrame:
-    return _full(spark, d)
+    return _rounded(_full(spark, d))
 
 
 def sample_statistics(spark: SparkSession, d: str) -> DataFrame:
-    return st.model_metadata(_full(spark, d))
+    return _rounded(st.model_metadata(_full(spark, d)))
 
 
 def _latest(spark: SparkSession, d: str) -> DataFrame:
@@ -218,6 +223,19 @@ _DIV = f"""with {_LATEST}, j as (select b.fname, b.chrom, b.start, b.stop, depth
 from latest b left join annotation a on b.chrom = a.chrom and b.start = a.start and b.stop = a.stop left join sample_metadata s on b.fname = s.fname)
 """
 _CTRL = "('chrM', 'lambda', 'pUC19')"
+_NULLED = lambda x: f"case when not isnan({x}) then {x} end"
+
+
+def _merge_sql(beta: str, where: str) -> str:
+    """Rows of the three strata beside their origin, each table read and reduced once."""
+    return f"""with latest as materialized ({_LATEST.removeprefix("latest as (")}, o as materialized (select fname, chrom, start, stop, u, m, depth, {_CLIP(beta)} as predicted_beta, {_CLIP("beta")} as own from latest where chrom is not null),
+h as materialized (select fname, chrom, start, stop, arg_max(actual_beta, row_id) as x from (select fname, chrom, start, stop, row_id, {{'v': {_NULLED("actual_beta")}}} as actual_beta from calibrated_high_depth) c group by all),
+l as materialized (select fname, chrom, start, stop, arg_max(beta, row_id) as x from (select fname, chrom, start, stop, row_id, {{'v': {_NULLED("beta")}}} as beta from low_depth) c group by all),
+a as materialized (select fname, chrom, start, stop, own as actual_beta from o where chrom in {_CTRL} union all select fname, chrom, start, stop, x.v from h union all select fname, chrom, start, stop, x.v from l)
+select a.fname, a.chrom, a.start, a.stop, u, m, depth, predicted_beta, {_CLIP("actual_beta")} as actual_beta
+from a left join o on a.fname = o.fname and a.chrom = o.chrom and a.start = o.start and a.stop = o.stop {where}"""
+
+
 _TRUTH = f"truth as ({_last('gold_train', 'label, chrom, start, stop, beta_pyro, rec_id', 'label, chrom, start, stop', 'rec_id', [])})".replace("from gold_train", "from gold_train where beta_pyro is not null and not isnan(beta_pyro)")
 _LAB, _LABEL = "split_part(fname, '_', 1)", "split_part(fname, '_', 2)"
 _PLAN = f"""with {_LATEST}, {_TRUTH},
@@ -235,7 +253,33 @@ where predicted_beta is not null and actual_beta is not null and not isnan(predi
 _BIN = "case when predicted_beta is null then null " + " ".join(f"when predicted_beta <= {b + 5} then '{b}-{b + 5}'" for b in range(0, 95, 5)) + " else '95-100' end"
 _PICK = "select * exclude (rn) from (select *, row_number() over (partition by {by} order by md5(concat({key}, '{seed}'))) as rn from ({src}) t) where rn <= {n}"
 
+# densities are summed over a grid of 1000 points; peaks of depth must stand 0.01 above the higher of the two dips beside them
+_PEAKS = """c as (select fname, info_col, x, count(*) as n from v group by all),
+b as (select fname, info_col, min(x) as lo, max(x) as hi, count(*) as total, stddev_samp(x) * case when info_col = 'beta' then 1.0e0 else pow(count(*), -0.2e0) end as w from v group by fname, info_col),
+g as (select b.*, i, lo + (hi - lo) / 999 * i as gx from b cross join range(1000) r(i) where w > 0),
+y as (select fname, info_col, i, any_value(gx) as gx, sum(n * exp(-0.5e0 * pow((gx - x) / w, 2))) / any_value(total * w) / sqrt(2 * pi()) as y from g join c using (fname, info_col) group by all),
+near as (select *, lag(y) over (partition by fname, info_col order by i) as y0, lead(y) over (partition by fname, info_col order by i) as y1 from y),
+top as (select * from near where y > y0 and y > y1),
+ends as (select t.fname, t.info_col, t.i, t.gx, t.y, max(j.i) filter (j.i < t.i and j.y > t.y) as l, min(j.i) filter (j.i > t.i and j.y > t.y) as r from top t join y j on t.fname = j.fname and t.info_col = j.info_col group by all),
+dips as (select e.fname, e.info_col, e.i, e.gx, e.y, min(j.y) filter (j.i between coalesce(l + 1, 0) and e.i) as dl, min(j.y) filter (j.i between e.i and coalesce(r - 1, 999)) as dr from ends e join y j on e.fname = j.fname and e.info_col = j.info_col group by all),
+ranked as (select *, row_number() over (partition by fname, info_col order by y desc, i) as rn from dips where info_col = 'beta' or y - greatest(dl, dr) >= 0.01e0),
+peaks as (select fname, info_col, cast(count(gx) as double) as peak_num, """ + ", ".join(f"coalesce(nullif(round(max(gx) filter (rn = {i}), 6), 0), -1.0e0) as peak{i}" for i in range(1, 6)) + " from b left join ranked using (fname, info_col) group by all)"
+_STATS = f"""with {_VALUES}, {_PEAKS},
+s as (select fname, info_col, count(*) as count, avg(x) as mean, stddev_samp(x) as std, min(x) as min, max(x) as max, mad(x) as mad, stddev_samp(x) / avg(x) as cv,
+ skewness(x) * (count(*) - 2) / sqrt(count(*) * (count(*) - 1.0e0)) as skew, kurtosis(x) as kurtosis, {", ".join(f"round(quantile_cont(x, {i / 100}), 6) as q{i}" for i in range(1, 100))} from v group by all),
+hist as (select v.fname, v.info_col, least(floor((x - lo) / nullif(hi - lo, 0) * 20), 19) as k, total as t, count(*) as n from v join b using (fname, info_col) group by all),
+ent as (select fname, info_col, -sum(n / t * log2(n / t)) + 0.0 as entropy from hist group by all),
+iqr as (select fname, info_col, quantile_cont(x, 0.75) - quantile_cont(x, 0.25) as iqr from v group by all),
+full_table as (select fname, case when substr(fname, 1, 2) in ('BS', 'EM', 'PS', 'RR') then substr(fname, 1, 2) end as method, info_col, {", ".join(f"q{i}" for i in range(1, 100))}, count,
+ {", ".join(f"round({x}, 6) as {x}" for x in ("mean", "std", "min", "max", "mad", "cv", "skew", "kurtosis", "iqr", "entropy"))}, peak_num, {", ".join(f"peak{i}" for i in range(1, 6))}
+ from s join ent using (fname, info_col) join iqr using (fname, info_col) join peaks using (fname, info_col))
+"""
+_PICKED = ", ".join(f"max(cast({'count' if x == 'depth5_count' else x.removeprefix(k + '_')} as double)) filter (info_col = '{k}') as {x}" for k, names in (("beta", BETA_STATS), ("depth", DEPTH_STATS)) for x in names)
+
 SQL = {
+    "kde_peaks": f"with {_VALUES}, {_PEAKS} select * from peaks",
+    "stats_merge": _STATS + "select * from full_table",
+    "sample_statistics": _STATS + f"select fname, method, {_PICKED} from full_table group by fname, method",
     "describe_stats": f"""with {_VALUES} select fname, info_col, count(*) as count, round(avg(x), 6) as mean, round(stddev_samp(x), 6) as std, round(min(x), 6) as min, round(max(x), 6) as max,
  round(stddev_samp(x) / avg(x), 6) as cv, round(skewness(x) * (count(*) - 2) / sqrt(count(*) * (count(*) - 1.0e0)), 6) as skew, round(kurtosis(x), 6) as kurtosis from v group by all""",
     "percentiles": f"""with {_VALUES} select fname, info_col, unnest(range(1, 100))::int as pct, round(unnest(quantile_cont(x, [{", ".join(f"{i / 100}" for i in range(1, 100))}])), 6) as value from v group by fname, info_col""",
@@ -249,12 +293,9 @@ select fname, info_col, round(-sum(n / t * log2(n / t)) + 0.0, 6) as entropy fro
     "divide_control": _DIV + f"select *, predicted_beta as actual_beta from j where chrom in {_CTRL}",
     "divide_low": _DIV + f"select *, predicted_beta as actual_beta from j where chrom not in {_CTRL} and depth < 10",
     "divide_high": _DIV + f"select * from j where chrom not in {_CTRL} and depth >= 10",
-    "merge_result": f"""with {_LATEST}, o as (select * from latest where chrom is not null),
-a as (select fname, chrom, start, stop, {_CLIP("beta")} as actual_beta from o where chrom in {_CTRL}
-union all select fname, chrom, start, stop, case when isnan(actual_beta) then null else actual_beta end from ({_last("calibrated_high_depth", "*", "fname, chrom, start, stop", "row_id", [])}) h
-union all select fname, chrom, start, stop, case when isnan(beta) then null else beta end from ({_last("low_depth", "*", "fname, chrom, start, stop", "row_id", [])}) l)
-select a.fname, a.chrom, a.start, a.stop, u, m, depth, {_CLIP("beta")} as predicted_beta, {_CLIP("actual_beta")} as actual_beta
-from a left join o on a.fname = o.fname and a.chrom = o.chrom and a.start = o.start and a.stop = o.stop where {_CLIP("beta")} is null or not isnan({_CLIP("beta")})""",
+    "merge_result": _merge_sql("beta", "where predicted_beta is null or not isnan(predicted_beta)"),
+    "merge_result_whole": _merge_sql(_NULLED("beta"), "").replace(f"{_CLIP('beta')} as own", f"{_CLIP(_NULLED('beta'))} as own"),
+    "latest_rows_whole": f"with {_LATEST} select * replace ({_NULLED('beta')} as beta) from latest",
     "presence_plan": _PLAN + "select * from p",
     "occurrence": _PLAN + "select label, occurrence, count(*) as n from p group by all",
     "stratified_sample_bin": _PICK.format(by="beta_bin", key="row_id", seed=SEED, n=500, src=f"select row_id, {_BIN} as beta_bin from calibrated_high_depth"),

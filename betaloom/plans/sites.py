@@ -193,6 +193,7 @@ SQL = {
     "base_split": "select site_id, " + ", ".join(f"substr({_ORIENT}, {i + 1}, 1) as {k}" for k, i in BASES.items()) + " from annotation",
     "beta_bins": f"select {_BINS} as beta_bin, count(*) as n from calibrated_high_depth group by 1",
     "clipped_beta": "select row_id, case when beta < 0 then 0.0e0 when beta > 100 then 100.0e0 else beta end as beta from low_depth where beta is null or not isnan(beta)",
+    "clipped_beta_whole": "select row_id, case when isnan(beta) then null when beta < 0 then 0.0e0 when beta > 100 then 100.0e0 else beta end as beta from low_depth",
     "genome_tile_lookup": f"""with a as (select distinct chrom, start - 5 as start, stop + 5 as stop from annotation where start >= 5), t as (select *, start // {TILE} as t0 from a)
 select chrom, start, stop, substr({_TILES.format(t="t0")} || {_TILES.format(t="t0 + 1")}, cast(start - t0 * {TILE} + 1 as bigint), cast(stop - start as bigint)) as seq from t""",
     "overlaps": _OVER,
