@@ -7,7 +7,7 @@ give null; ratios without G or C are NaN. All expressions stay in generated code
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from betaloom.shared import ship
@@ -31,23 +31,34 @@ def count_base(seq: Column, base: str) -> Column:
     return F.length(seq) - F.length(F.translate(seq, base, ""))
 
 
-def gc_content(seq: Column, width: int = FLANK) -> Column:
+def with_base_counts(df: DataFrame, seq: Column, prefix: str = "n_") -> tuple[DataFrame, dict[str, Column]]:
+    """df with a column per base, and these by base: counted in a step of their own, so that measures made of them count once."""
+    return df.withColumns({f"{prefix}{b.lower()}": count_base(seq, b) for b in "ACGT"}), {b: F.col(f"{prefix}{b.lower()}") for b in "ACGT"}
+
+
+def _counts(seq: Column, counts: dict[str, Column] | None) -> dict[str, Column]:
+    return counts or {b: count_base(seq, b) for b in "ACGT"}
+
+
+def gc_content(seq: Column, width: int = FLANK, counts: dict[str, Column] | None = None) -> Column:
     """Share of G and C; the divisor is 2 * width + 2 (one more than the window holds), as models were fitted."""
-    return (count_base(seq, "G") + count_base(seq, "C")) / F.lit(2.0 * width + 2)
+    n = _counts(seq, counts)
+    return (n["G"] + n["C"]) / F.lit(2.0 * width + 2)
 
 
-def _over_gc(top: Column, seq: Column) -> Column:
-    gc = count_base(seq, "G") + count_base(seq, "C")
+def _over_gc(top: Column, n: dict[str, Column]) -> Column:
+    gc = n["G"] + n["C"]
     return F.when(gc == 0, F.lit(float("nan"))).otherwise(top / F.when(gc != 0, gc))
 
 
-def gc_skew(seq: Column) -> Column:
-    return _over_gc((count_base(seq, "G") - count_base(seq, "C")).cast("double"), seq)
+def gc_skew(seq: Column, counts: dict[str, Column] | None = None) -> Column:
+    n = _counts(seq, counts)
+    return _over_gc((n["G"] - n["C"]).cast("double"), n)
 
 
-def cpg_gc_ratio(seq: Column) -> Column:
+def cpg_gc_ratio(seq: Column, counts: dict[str, Column] | None = None) -> Column:
     """Non-overlapping GC or CG pairs over G and C."""
-    return _over_gc(F.regexp_count(seq, F.lit("(GC|CG)")).cast("double"), seq)
+    return _over_gc(F.regexp_count(seq, F.lit("(GC|CG)")).cast("double"), _counts(seq, counts))
 
 
 def strand(seq: Column, center: int) -> Column:
@@ -63,12 +74,12 @@ def context_type(seq: Column, center: int) -> Column:
     return F.when(b(0) == "C", plus).when(b(0) == "G", minus).otherwise("?")
 
 
-def shannon_entropy(seq: Column) -> Column:
+def shannon_entropy(seq: Column, counts: dict[str, Column] | None = None) -> Column:
     """Bits per base over A, C, G, T; other letters only lengthen the divisor; 0 for the empty sequence."""
     n = F.length(seq)
     total = F.lit(0.0)
-    for b in "ACGT":
-        share = count_base(seq, b) / F.when(n > 0, n)
+    for x in _counts(seq, counts).values():
+        share = x / F.when(n > 0, n)
         total = total - F.when(share > 0, share * F.log2(share)).otherwise(0.0)
     return F.when(seq.isNotNull(), total)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -39,26 +41,31 @@ def summarise_overlaps(overlaps: DataFrame) -> DataFrame:
     )
 
 
-def with_bwt_ratio(df: DataFrame, seq: Column, name: str) -> DataFrame:
-    """df with the ratio of each row's sequence; a distinct sequence is transformed once and joined back."""
+def with_complexity(df: DataFrame, seq: Column, name: str, measure: Callable[[Column], Column] = sq.bwt_ratio) -> DataFrame:
+    """df with the measure of each row's sequence; a distinct sequence is measured once and joined back."""
     d = df.withColumn("_seq", seq)
-    once = d.select("_seq").filter("_seq is not null").distinct().withColumn(name, sq.bwt_ratio(F.col("_seq")))
+    once = d.select("_seq").filter("_seq is not null").distinct().withColumn(name, measure(F.col("_seq")))
     return d.join(once, "_seq", "left").drop("_seq")
 
 
-def sequence_features(seqs: DataFrame, seq: str = "seq") -> DataFrame:
-    """seqs: chrom, start, stop and a 141-base flank. Context, composition and complexity of each site."""
-    s = F.upper(F.col(seq))
+def sequence_features(seqs: DataFrame, seq: str = "seq", complexity: Callable[[Column], Column] = sq.bwt_ratio) -> DataFrame:
+    """seqs: chrom, start, stop and a 141-base flank. Context, composition and complexity of each site.
+
+    Bases are counted once for all measures: the flank has no base outside the complexity window. `complexity` takes the
+    place of the BWT ratio where a caller has a measure of their own.
+    """
     c = sq.FLANK
-    return with_bwt_ratio(seqs, sq.complexity_window(s, c, 70), "bwt_ratio_70").select(
+    d, n = sq.with_base_counts(seqs.select(*SITE, F.upper(F.col(seq)).alias("_flank")), F.col("_flank"), "_n_")
+    s = F.col("_flank")
+    return with_complexity(d, sq.complexity_window(s, c, 70), "bwt_ratio_70", complexity).select(
         *SITE,
         sq.strand(s, c).alias("strand"),
         sq.context_type(s, c).alias("ctx_type"),
         sq.window(s, c, 5, 5).alias("seq_5"),
-        sq.gc_content(s).alias("gc_70"),
-        sq.gc_skew(s).alias("gc_skew_70"),
-        sq.cpg_gc_ratio(s).alias("cpg_gc_ratio_70"),
-        sq.shannon_entropy(sq.complexity_window(s, c, 70)).alias("shannonentropy_70"),
+        sq.gc_content(s, counts=n).alias("gc_70"),
+        sq.gc_skew(s, n).alias("gc_skew_70"),
+        sq.cpg_gc_ratio(s, n).alias("cpg_gc_ratio_70"),
+        sq.shannon_entropy(sq.complexity_window(s, c, 70), n).alias("shannonentropy_70"),
         "bwt_ratio_70",
     )
 

@@ -1,7 +1,8 @@
 """Range overlap and sequence lookup by binned equi-joins.
 
 Features are laid over bins of fixed width, sites fall into one bin each, and the range condition is checked inside the
-bin; features longer than LONG_BINS bins use bins 64 times as wide, so that no feature is spread over many rows. A
+bin; features longer than LONG_BINS bins use bins 64 times as wide, so that no feature is spread over many rows. Such
+features are few: they are counted, and broadcast up to a bound, so that sites are shuffled once. A
 contig that holds a third of all sites is cut by its bins.
 
 Defined results: intervals are half-open; a null contig, start or stop overlaps nothing; repeated sites and features give
@@ -13,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from betaloom.shared import sized
+
 BIN, LONG_BINS, COARSE = 16_384, 64, 64
 
 
@@ -39,7 +42,7 @@ def overlap_join(sites: DataFrame, features: DataFrame, stranded: bool = False,
         free = lambda c: F.coalesce(F.col(c), F.lit("*")) == "*"
         cond = cond & (free("strand") | free("f_strand") | (F.col("strand") == F.col("f_strand")))
     long = F.col("f_stop") - F.col("f_start") > width * LONG_BINS
-    return _tier(s, f.filter(~long), width, cond, carry).unionByName(_tier(s, f.filter(long), width * COARSE, cond, carry))
+    return _tier(s, f.filter(~long), width, cond, carry).unionByName(_tier(s, sized(f.filter(long)), width * COARSE, cond, carry))
 
 
 def tile_lookup(sites: DataFrame, tiles: DataFrame, tile: int, out: str = "seq") -> DataFrame:

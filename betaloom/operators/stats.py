@@ -12,9 +12,10 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from betaloom.shared import blocked_cumsum, ship
+from betaloom.shared import ship
 from betaloom.vocab import BETA_STATS, DEPTH_STATS
 
 ship(__name__)
@@ -41,15 +42,24 @@ def _cells(c: DataFrame, cells: int) -> DataFrame:
 
 
 def percentiles(c: DataFrame, percents: Sequence[float] = PERCENTS) -> DataFrame:
-    """(fname, info_col, pct, value), linear interpolation between order statistics; ranks come from blocks of values of like size."""
+    """(fname, info_col, pct, value), linear interpolation between order statistics.
+
+    Values are cut into blocks of like size. The counts of blocks tell which block holds which rank, and only ranks of
+    its own block are looked up among its values.
+    """
     block = F.floor(F.greatest(F.least(F.signum("value") * F.log1p(F.abs("value")), F.lit(800.0)), F.lit(-800.0)) * 64).cast("int")
-    d = blocked_cumsum(c, KEYS, "value", "n", block, "upto", total="total")
-    d = d.select("*", F.explode(F.array(*[F.lit(float(p)) for p in percents])).alias("pct"))
+    d = c.withColumn("_blk", block)
+    on = [*KEYS, "_blk"]
+    sizes = d.groupBy(*on).agg(F.sum("n").alias("_t"))
+    sizes = sizes.withColumns({"_before": F.coalesce(F.sum("_t").over(W.partitionBy(*KEYS).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)), "total": F.sum("_t").over(W.partitionBy(*KEYS))})
     h = (F.col("total") - 1) * F.col("pct") / 100
-    d = d.withColumn("h", h).withColumn("k", F.floor("h")).withColumn("j", F.least(F.floor("h") + 1, F.col("total") - 1))
-    holds = lambda r: (F.col(r) < F.col("upto")) & (F.col(r) >= F.col("upto") - F.col("n"))
-    d = d.filter(holds("k") | holds("j"))
-    both = d.groupBy(*KEYS, "pct").agg(F.max(F.when(holds("k"), F.col("value"))).alias("a"), F.max(F.when(holds("j"), F.col("value"))).alias("b"), F.max(F.col("h") - F.col("k")).alias("f"))
+    ranks = sizes.select("*", F.explode(F.array(*[F.lit(float(p)) for p in percents])).alias("pct")).withColumn("_h", h).withColumn("_k", F.floor("_h"))
+    which = F.array(F.struct(F.lit(True).alias("first"), F.col("_k").alias("rank")), F.struct(F.lit(False).alias("first"), F.least(F.col("_k") + 1, F.col("total") - 1).alias("rank")))
+    ranks = ranks.select(*on, "_before", "_t", "pct", (F.col("_h") - F.col("_k")).alias("_f"), F.explode(which).alias("_w"))
+    ranks = ranks.select(*on, "pct", "_f", "_w.first", (F.col("_w.rank") - F.col("_before")).alias("_at"), "_t").filter("_at >= 0 and _at < _t").drop("_t")
+    upto = F.sum("n").over(W.partitionBy(*on).orderBy("value").rowsBetween(W.unboundedPreceding, 0))
+    hit = d.withColumn("_upto", upto).join(ranks, on).filter("_at < _upto and _at >= _upto - n")
+    both = hit.groupBy(*KEYS, "pct").agg(F.max(F.when(F.col("first"), F.col("value"))).alias("a"), F.max(F.when(~F.col("first"), F.col("value"))).alias("b"), F.max("_f").alias("f"))
     return both.select(*KEYS, "pct", (F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias("value"))
 
 

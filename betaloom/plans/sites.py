@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from betaloom.functions import sequence as sq
 from betaloom.functions.values import beta_bin, clip_beta
-from betaloom.operators.annotate import annotate, sequence_features, short_name, summarise_overlaps, with_bwt_ratio
+from betaloom.operators.annotate import annotate, sequence_features, short_name, summarise_overlaps, with_complexity
 from betaloom.operators.intervals import flank, overlap_join, tile_lookup
 from betaloom.plans.fixtures import FEATURES, SEQS, SITES, view
 from betaloom.sources.scans import pick_files
@@ -63,8 +63,9 @@ def base_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def gc_features(spark: SparkSession, d: str) -> DataFrame:
-    s = F.upper("seq")
-    return view(spark, d, SEQS).select("chrom", "start", r(sq.gc_content(s), "gc_70"), r(sq.gc_skew(s), "gc_skew_70"), r(sq.cpg_gc_ratio(s), "cpg_gc_ratio_70"))
+    q, n = sq.with_base_counts(view(spark, d, SEQS).withColumn("seq", F.upper("seq")), F.col("seq"))
+    s = F.col("seq")
+    return q.select("chrom", "start", r(sq.gc_content(s, counts=n), "gc_70"), r(sq.gc_skew(s, n), "gc_skew_70"), r(sq.cpg_gc_ratio(s, n), "cpg_gc_ratio_70"))
 
 
 def strand_context(spark: SparkSession, d: str) -> DataFrame:
@@ -73,12 +74,13 @@ def strand_context(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shannon_entropy(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, SEQS).select("chrom", "start", r(sq.shannon_entropy(F.upper("seq")), "entropy"))
+    q, n = sq.with_base_counts(view(spark, d, SEQS).withColumn("seq", F.upper("seq")), F.col("seq"))
+    return q.select("chrom", "start", r(sq.shannon_entropy(F.col("seq"), n), "entropy"))
 
 
 def bwt_ratio(spark: SparkSession, d: str) -> DataFrame:
     """Over the 141-base flanks."""
-    return with_bwt_ratio(view(spark, d, SEQS), sq.complexity_window(F.upper("seq"), 70, 70), "bwt_ratio").select("chrom", "start", "bwt_ratio")
+    return with_complexity(view(spark, d, SEQS), sq.complexity_window(F.upper("seq"), 70, 70), "bwt_ratio").select("chrom", "start", "bwt_ratio")
 
 
 def reverse_complement(spark: SparkSession, d: str) -> DataFrame:
