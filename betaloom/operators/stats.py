@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from betaloom.shared import ship
-from betaloom.vocab import BETA_STATS, DEPTH_STATS
+from betaloom.vocab import BETA_STATS, COUNTS, DEPTH_STATS
 
 ship(__name__)
 
@@ -185,7 +185,7 @@ def model_metadata(full: DataFrame) -> DataFrame:
     pick = []
     for kind, names in (("beta", BETA_STATS), ("depth", DEPTH_STATS)):
         for name in names:
-            stat = "count" if name == "depth5_count" else name.removeprefix(f"{kind}_")
+            stat = "count" if name in COUNTS else name.removeprefix(f"{kind}_")
             pick.append(F.max(F.when(F.col("info_col") == kind, F.col(stat).cast("double"))).alias(name))
     return full.groupBy("fname", "method").agg(*pick)
 

@@ -12,7 +12,7 @@ from betaloom.operators import stats as st
 from betaloom.operators.evaluate import pinball, rmse
 from betaloom.shared import cut_lineage
 from betaloom.sources.tables import table
-from betaloom.vocab import BETA_STATS, DEPTH_STATS
+from betaloom.vocab import BETA_STATS, COUNTS, DEPTH_STATS
 
 SITE = ["chrom", "start", "stop"]
 LABS = [*[f"BS{i}" for i in range(1, 5)], *[f"EM{i}" for i in range(1, 5)], "PS1", "PS2", "PS3", "RR1"]
@@ -185,6 +185,20 @@ def dataset_build(spark: SparkSession, d: str) -> DataFrame:
     return sm.dataset(plan, LABS, rows, meta, SITE).select("label", "lab", *SITE, "actual_beta", "predicted_beta", "depth", "method", "beta_q6")
 
 
+#: What the wide training set has of a plan and of a sample.
+_PLAN_COLS, _STAT_COLS = ["plan_row_id", "plan_id", "in_hcr", "beta_bin", "occurrence"], [*DEPTH_STATS, *BETA_STATS]
+
+
+def dataset_wide(spark: SparkSession, d: str) -> DataFrame:
+    """The training set with all columns of the plan and all statistics of the sample; betas that are not numbers are null."""
+    flags = [x.lower() for x in LABS]
+    plan = table(spark, d, "sampling_plan").withColumnsRenamed(dict(zip(flags, LABS, strict=True)))
+    rows = latest_rows_whole(spark, d).filter("fname like '%\\_1'")
+    rows = rows.select(*SITE, label(F.col("fname")).alias("label"), lab(F.col("fname")).alias("lab"), F.col("beta").alias("predicted_beta"), "depth")
+    meta = table(spark, d, "sample_metadata").filter("rep = 1").select("label", "lab", F.upper(F.substring("method", 1, 2)).alias("method"), *_STAT_COLS)
+    return sm.dataset(plan, LABS, rows, meta, SITE).select("label", "lab", *SITE, "actual_beta", "predicted_beta", "depth", "method", *_PLAN_COLS, *_STAT_COLS)
+
+
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "calibrated_high_depth").filter("predicted_beta is not null and actual_beta is not null and not isnan(predicted_beta) and not isnan(actual_beta)")
     t = _truth(spark, d).withColumn("truth", F.when(F.col("beta_pyro") <= 1, F.col("beta_pyro") * 100).otherwise(F.col("beta_pyro")))
@@ -204,7 +218,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         describe_stats, percentiles, mad, iqr, histogram_entropy, kde_peaks, peak_padding, stats_merge, sample_statistics, latest_rows, latest_rows_whole, divide_control, divide_low, divide_high, merge_result, merge_result_whole,
-        presence_plan, occurrence, stratified_sample_bin, stratified_sample_bin_occ, gold_split, five_folds, fold_selection, dataset_build, rmse_eval, pinball_eval,
+        presence_plan, occurrence, stratified_sample_bin, stratified_sample_bin_occ, gold_split, five_folds, fold_selection, dataset_build, dataset_wide, rmse_eval, pinball_eval,
     )
 }
 
@@ -274,7 +288,7 @@ full_table as (select fname, case when substr(fname, 1, 2) in ('BS', 'EM', 'PS',
  {", ".join(f"round({x}, 6) as {x}" for x in ("mean", "std", "min", "max", "mad", "cv", "skew", "kurtosis", "iqr", "entropy"))}, peak_num, {", ".join(f"peak{i}" for i in range(1, 6))}
  from s join ent using (fname, info_col) join iqr using (fname, info_col) join peaks using (fname, info_col))
 """
-_PICKED = ", ".join(f"max(cast({'count' if x == 'depth5_count' else x.removeprefix(k + '_')} as double)) filter (info_col = '{k}') as {x}" for k, names in (("beta", BETA_STATS), ("depth", DEPTH_STATS)) for x in names)
+_PICKED = ", ".join(f"max(cast({'count' if x in COUNTS else x.removeprefix(k + '_')} as double)) filter (info_col = '{k}') as {x}" for k, names in (("beta", BETA_STATS), ("depth", DEPTH_STATS)) for x in names)
 
 SQL = {
     "kde_peaks": f"with {_VALUES}, {_PEAKS} select * from peaks",
@@ -309,6 +323,11 @@ m as (select {_LABEL} as label, {_LAB} as lab, chrom, start, stop, beta as predi
 s as (select label, lab, upper(substr(method, 1, 2)) as method, beta_q6 from sample_metadata where rep = 1)
 select p.label, p.lab, p.chrom, p.start, p.stop, actual_beta, predicted_beta, depth, method, beta_q6 from p left join m on p.label = m.label and p.lab = m.lab and p.chrom = m.chrom and p.start = m.start and p.stop = m.stop
 left join s on p.label = s.label and p.lab = s.lab""",
+    "dataset_wide": f"""with {_LATEST}, p as ({" union all ".join(f"select label, '{x}' as lab, chrom, start, stop, beta_pyro as actual_beta, {', '.join(_PLAN_COLS)} from sampling_plan where {x.lower()}" for x in LABS)}),
+m as (select {_LABEL} as label, {_LAB} as lab, chrom, start, stop, {_NULLED("beta")} as predicted_beta, depth from latest where fname like '%\\_1' escape '\\'),
+s as (select label, lab, upper(substr(method, 1, 2)) as method, {", ".join(_STAT_COLS)} from sample_metadata where rep = 1)
+select p.label, p.lab, p.chrom, p.start, p.stop, actual_beta, predicted_beta, depth, method, {", ".join(_PLAN_COLS)}, {", ".join(_STAT_COLS)} from p left join m on p.label = m.label and p.lab = m.lab and p.chrom = m.chrom and p.start = m.start and p.stop = m.stop
+ left join s on p.label = s.label and p.lab = s.lab""",
     "rmse_eval": _SCORED + "select label, count(*) as n, round(sqrt(avg(pow(predicted_beta - truth, 2))), 6) as rmse_before, round(sqrt(avg(pow(actual_beta - truth, 2))), 6) as rmse_after from s group by 1",
     "pinball_eval": _SCORED + "select label, round(avg(greatest(0.5e0 * (truth - actual_beta), -0.5e0 * (truth - actual_beta))), 6) as pinball from s group by 1",
 }

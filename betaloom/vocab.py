@@ -34,6 +34,14 @@ LOCATIONS = ["TTS_1to5kb", "5UTR", "3UTR", "1st_exon", "intron", "intron_exon_bo
 BASES = {"b5": 0, "b4": 1, "b3": 2, "b2": 3, "b1": 4, "a1": 6, "a2": 7, "a3": 8, "a4": 9, "a5": 10}
 
 #: Statistics of a sample that models use.
-BETA_STATS = [f"beta_q{i}" for i in (*range(5, 14), 82, *range(85, 91))] + ["beta_min", "beta_max", "beta_entropy"]
-DEPTH_STATS = ["depth5_count", "depth_std", "depth_max", "depth_cv", "depth_skew", "depth_kurtosis", "depth_peak_num", *[f"depth_peak{i}" for i in range(1, 6)]]
+BETA_STATS = [
+    "depth10_count", "beta_q5", "beta_q6", "beta_q7", "beta_q8", "beta_q9", "beta_q10", "beta_q11", "beta_q12", "beta_q13",
+    "beta_q82", "beta_q85", "beta_q86", "beta_q87", "beta_q88", "beta_q89", "beta_q90", "beta_min", "beta_max", "beta_entropy",
+]
+DEPTH_STATS = [
+    "depth5_count", "depth_std", "depth_max", "depth_cv", "depth_skew", "depth_kurtosis",
+    "depth_peak_num", "depth_peak1", "depth_peak2", "depth_peak3", "depth_peak4", "depth_peak5",
+]
+#: The counts among them: rows of the column, whose files hold rows from that depth on.
+COUNTS = ["depth10_count", "depth5_count"]
 # ------------------------------------------------------------------------------------------------------------------
