@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from betaloom.functions.sequence import neighbours
-from betaloom.functions.values import lab, label, method, trusted_depth
+from betaloom.functions.sequence import bwt_ratio, neighbours
+from betaloom.functions.values import beta_bin, lab, label, method, trusted_depth
 from betaloom.operators import divide as dv
 from betaloom.operators import models as ml
 from betaloom.operators import sampling as sm
@@ -18,11 +19,14 @@ from betaloom.operators.annotate import annotate, sequence_features, short_name,
 from betaloom.operators.checks import not_empty, require_columns
 from betaloom.operators.intervals import flank, overlap_join, tile_lookup
 from betaloom.plans.learning import ROLES
-from betaloom.sources.scans import pick_files, scan_parquet
-from betaloom.sources.sinks import write_parquet, write_tsv
-from betaloom.vocab import CONTIGS, CONTROLS
+from betaloom.shared import cut_lineage
+from betaloom.sources.scans import fasta_tiles, pick_files, read_fasta, read_tracks, scan_parquet
+from betaloom.sources.sinks import complete, exists, free, write_parquet, write_tsv
+from betaloom.vocab import BETA_STATS, CONTIGS, CONTROLS, DEPTH_STATS
 
 SITE = ["chrom", "start", "stop"]
+#: What models may be trained on: site features, and the statistics of the sample.
+ALL_ROLES = ml.Roles([*ROLES.numbers, *DEPTH_STATS, *BETA_STATS], [*ROLES.categories, "method"], ROLES.flags)
 
 
 def _sites(rows: DataFrame) -> DataFrame:
@@ -30,92 +34,157 @@ def _sites(rows: DataFrame) -> DataFrame:
     return rows.withColumnRenamed("end", "stop")
 
 
-def _model_input(rows: DataFrame) -> DataFrame:
-    """rows with the columns that models use; neighbours of the cytosine are taken from seq_5 where they are not there yet."""
+def _model_input(rows: DataFrame, roles: ml.Roles = ROLES) -> tuple[DataFrame, ml.Roles]:
+    """rows with those columns that models use, as far as they are there, and their roles; neighbours of the cytosine are taken from seq_5."""
     if "seq_5" in rows.columns:
         rows = rows.withColumns({k: c for k, c in neighbours(F.upper("seq_5")).items() if k not in rows.columns})
-    return ml.prepare(require_columns(rows, [*ROLES.numbers, *ROLES.categories, *ROLES.flags]), ROLES)
+    used = ml.present(roles, rows)
+    return ml.prepare(require_columns(rows, ["predicted_beta", "depth"]), used), used
+
+
+def _load(path: str) -> PipelineModel:
+    if not exists(SparkSession.getActiveSession(), path):
+        raise FileNotFoundError(f"no model at {path}")
+    return PipelineModel.load(path)
+
+
+def _callable(name: str | None, default):  # noqa: ANN001, ANN202
+    """`module:function` of the caller's, in place of a built-in measure."""
+    if not name:
+        return default
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
 
 
 def run_annotate(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = pick_files(_sites(scan_parquet(spark, *a.input)), a.whitelist or ())
-    sites = not_empty(rows.filter(F.col("chrom").isin(CONTIGS) & (F.col("depth") >= a.cutoff)).select(SITE).distinct(), "site set")
-    wide = flank(sites.filter("start >= 70"), 70, 70)
-    seqs = tile_lookup(wide, spark.read.parquet(a.genome), a.tile).select("chrom", (F.col("start") + 70).alias("start"), (F.col("stop") - 70).alias("stop"), "seq")
-    pairs = overlap_join(sites.join(sequence_features(seqs).select(*SITE, "strand"), SITE, "left"), spark.read.parquet(a.features), a.strand)
-    summary = summarise_overlaps(pairs.select(*SITE, F.col("f_gene_symbol").alias("gene_symbol"), short_name(F.col("f_track")).alias("anno")))
-    out = annotate(sites, sequence_features(seqs), summary)
-    write_parquet(out, f"{a.output}/{a.name}.parquet", a.on_exists)
-    write_tsv(out, f"{a.output}/{a.name}.tsv", a.on_exists)
+    table, text = f"{a.output}/{a.name}.parquet", f"{a.output}/{a.name}.tsv"
+    todo = free(spark, a.on_exists, table, text)
+    if table in todo:
+        rows = pick_files(_sites(scan_parquet(spark, *a.input)), a.whitelist or ())
+        sites = not_empty(cut_lineage(rows.filter(F.col("chrom").isin(CONTIGS) & (F.col("depth") >= a.cutoff)).select(SITE).distinct()), "site set")
+        tiles = fasta_tiles(read_fasta(spark, a.genome), a.tile) if a.genome.endswith((".fa", ".fasta", ".fna")) else spark.read.parquet(a.genome)
+        wide = flank(sites.filter("start >= 70"), 70, 70)
+        seqs = tile_lookup(wide, tiles, a.tile).select("chrom", (F.col("start") + 70).alias("start"), (F.col("stop") - 70).alias("stop"), "seq")
+        features = cut_lineage(sequence_features(seqs, complexity=_callable(a.complexity, bwt_ratio)))
+        pairs = overlap_join(sites.join(features.select(*SITE, "strand"), SITE, "left"), read_tracks(spark, a.features), a.strand)
+        summary = summarise_overlaps(pairs.select(*SITE, F.col("f_gene_symbol").alias("gene_symbol"), short_name(F.col("f_track")).alias("anno")))
+        write_parquet(annotate(sites, features, summary), table, a.on_exists)
+    if text in todo:
+        write_tsv(spark.read.parquet(table), text, a.on_exists)
 
 
 def run_stat(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = require_columns(scan_parquet(spark, *a.input), ["beta", "depth"])
-    c = st.counts(rows, "fname", ["beta", "depth"])
-    named = c.select("fname").distinct().withColumn("method", F.lit(a.method) if a.method else method(F.col("fname")))
-    full = st.full_table(c, named, a.peaks)
-    write_parquet(full, f"{a.output}.stats.parquet", a.on_exists)
-    if a.peaks >= 5:
-        write_parquet(st.model_metadata(spark.read.parquet(f"{a.output}.stats.parquet")), f"{a.output}.metadata.parquet", a.on_exists)
+    table, meta = f"{a.output}.stats.parquet", f"{a.output}.metadata.parquet"
+    todo = free(spark, a.on_exists, table, *([meta] if a.peaks >= 5 else []))
+    if table in todo:
+        c = cut_lineage(st.counts(require_columns(scan_parquet(spark, *a.input), ["beta", "depth"]), "fname", ["beta", "depth"]))
+        named = c.select("fname").distinct().withColumn("method", F.lit(a.method) if a.method else method(F.col("fname")))
+        write_parquet(st.full_table(c, named, a.peaks), table, a.on_exists)
+    if meta in todo:
+        write_parquet(st.model_metadata(spark.read.parquet(table)), meta, a.on_exists)
 
 
 def run_divide(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = dv.with_features(_sites(scan_parquet(spark, *a.input)), spark.read.parquet(a.annotation), spark.read.parquet(a.metadata), validate=True)
+    paths = {name: f"{a.output}/{name}.parquet" for name in ("control", "low", "high")}
+    todo = free(spark, a.on_exists, *paths.values())
+    rows = cut_lineage(dv.with_features(_sites(scan_parquet(spark, *a.input)), spark.read.parquet(a.annotation), spark.read.parquet(a.metadata), validate=True))
     for name, part in dv.divide(rows, a.cutoff, a.controls.split(",")).items():
-        write_parquet(part, f"{a.output}/{name}.parquet", a.on_exists)
+        if paths[name] in todo and not (name == "control" and a.skip_empty_control and part.isEmpty()):
+            write_parquet(part, paths[name], a.on_exists)
 
 
 def run_train(spark: SparkSession, a: argparse.Namespace) -> None:
-    data = _model_input(spark.read.parquet(*a.input)).filter("actual_beta is not null").withColumn("_key", F.xxhash64("label", "chrom", "start", "lab"))
-    models, top, table = ml.stacked(data, ROLES, "actual_beta", "_key")
+    """Members, ensemble, leaderboard, evaluation and importance. Rows for validation are files named by --folds, or a fifth of all."""
+    if not free(spark, a.on_exists, a.output):
+        return
+    rows = scan_parquet(spark, *a.input).filter("actual_beta is not null")
+    rows = rows.withColumn("_key", F.xxhash64("label", *SITE, "lab"))
+    held = sm.validates(F.col("fname"), a.folds) if a.folds else ml.part(F.col("_key"), 5, 30) == 0
+    data, roles = _model_input(rows.withColumn("_held", held), ALL_ROLES)
+    data = cut_lineage(data)
+    train, valid = not_empty(data.filter("not _held"), "training set"), not_empty(data.filter("_held"), "validation set")
+    models, top, _ = ml.stacked(train, roles, "actual_beta", "_key", trees=a.trees)
     for name, m in {**models, "ensemble": top}.items():
         m.write().overwrite().save(f"{a.output}/{name}")
-    board = ml.leaderboard(top.transform(table), "actual_beta", [*models, "ensemble"])
-    board.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{a.output}/leaderboard.csv")
+    scored = cut_lineage(ml.predict_stacked(valid, models, top))
+    write_csv = lambda df, name, sep: df.coalesce(1).write.mode("overwrite").option("header", True).option("sep", sep).csv(f"{a.output}/{name}")  # noqa: E731 a few rows each
+    write_csv(ml.evaluation(scored, "actual_beta", "ensemble"), "evaluate_stats.tsv", "\t")
+    write_csv(ml.leaderboard(scored, "actual_beta", [*models, "ensemble"]), "leaderboard.csv", ",")
+
+    class Ensemble:
+        @staticmethod
+        def transform(df: DataFrame) -> DataFrame:
+            return ml.predict_stacked(df, models, top)
+
+    columns = [*roles.numbers, *roles.flags, *roles.categories]
+    write_csv(ml.permutation_importance(Ensemble, valid, "actual_beta", columns, "_key", "ensemble", a.shuffles).orderBy(F.desc("importance")), "feature_importance.csv", ",")
 
 
 def run_calibrate(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = _model_input(pick_files(scan_parquet(spark, *a.input), a.whitelist or ()))
+    if not free(spark, a.on_exists, a.output):
+        return
     names = list(ml.learners("actual_beta"))
-    models = {n: PipelineModel.load(f"{a.model}/{n}") for n in names}
-    out = ml.predict_stacked(rows, models, PipelineModel.load(f"{a.model}/ensemble"))
+    if a.member not in (*names, "ensemble"):
+        raise ValueError(f"no member {a.member!r}; there are {', '.join((*names, 'ensemble'))}")
+    models, top = {n: _load(f"{a.model}/{n}") for n in names}, _load(f"{a.model}/ensemble")
+    rows, _ = _model_input(pick_files(scan_parquet(spark, *a.input), a.whitelist or ()), ALL_ROLES)
+    require_columns(rows, [c for c in ml.inputs(models[names[0]]) if not c.endswith("_ix")])
+    out = ml.predict_stacked(rows, models, top)
     write_parquet(out.withColumn("actual_beta", F.col(a.member)).drop(*names, "ensemble"), a.output, a.on_exists)
 
 
 def run_impute(spark: SparkSession, a: argparse.Namespace) -> None:
-    high = sm.stratified(spark.read.parquet(a.high).withColumn("_bin", F.floor(F.col("predicted_beta") / 5)), ["_bin"], F.concat_ws(":", "chrom", "start"), a.per_bin, "_28")
-    train = _model_input(high).withColumn("_key", F.xxhash64("chrom", "start"))
-    best, trials = ml.search(train, ROLES, "actual_beta", "_key", a.trials)
-    model = ml.median_model(train.withColumn("_held", ml.part(F.col("_key"), 5) == 0), ROLES, "actual_beta", valid="_held", **best)
-    low = _model_input(spark.read.parquet(a.low).drop("actual_beta"))
-    write_parquet(model.transform(low).withColumnRenamed("prediction", "actual_beta").select(*SITE, "actual_beta"), a.output, a.on_exists)
+    todo = free(spark, a.on_exists, a.output, f"{a.output}.trials")
+    if a.output not in todo:
+        return
+    high = sm.stratified(spark.read.parquet(a.high).withColumn("_bin", beta_bin(F.col("predicted_beta"))), ["_bin"], F.concat_ws(":", "chrom", "start"), a.per_bin, "_28")
+    train, roles = _model_input(high)
+    train = cut_lineage(train.withColumn("_key", F.xxhash64("chrom", "start")))
+    best, trials = ml.search(train, roles, "actual_beta", "_key", a.trials)
+    model = ml.median_model(train.withColumn("_held", ml.part(F.col("_key"), 5) == 0), roles, "actual_beta", valid="_held", **best)
+    low, _ = _model_input(spark.read.parquet(a.low).drop("actual_beta"))
+    write_parquet(model.transform(low).withColumnRenamed("prediction", "actual_beta").select(*[c for c in ("fname", *SITE) if c in low.columns], "actual_beta"), a.output, a.on_exists)
     write_parquet(trials, f"{a.output}.trials", a.on_exists)
 
 
 def run_merge(spark: SparkSession, a: argparse.Namespace) -> None:
-    control, high, low = (spark.read.parquet(p) for p in (a.control, a.high, a.low))
-    out = dv.merge(control, high, low, _sites(spark.read.parquet(a.origin)))
-    write_parquet(out.orderBy("chrom", "start"), a.output, a.on_exists, codec="snappy")
+    """A control table that is not there stands for no control rows."""
+    if not free(spark, a.on_exists, a.output):
+        return
+    high, low = (spark.read.parquet(p) for p in (a.high, a.low))
+    control = spark.read.parquet(a.control) if complete(spark, a.control) else high.limit(0)
+    origin = _sites(scan_parquet(spark, a.origin))
+    origin = origin.withColumn("beta", F.nanvl("beta", F.lit(None).cast("double")))
+    keys = ["fname", *SITE] if all("fname" in d.columns for d in (control, high, low)) else SITE
+    write_parquet(dv.merge(control, high, low, origin, keys).orderBy(*keys), a.output, a.on_exists, codec="snappy")
 
 
 def run_plan(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Each label is split, sampled and folded by itself."""
+    gold_path, folds_path = f"{a.output}/gold", f"{a.output}/folds"
+    todo = free(spark, a.on_exists, gold_path, folds_path)
     rows = _sites(scan_parquet(spark, *a.input)).withColumn("lab", lab(F.col("fname"))).withColumn("label", label(F.col("fname")))
-    truth = spark.read.parquet(a.truth)
     labs = a.labs.split(",")
-    plan = sm.presence_plan(truth, rows.filter(trusted_depth(F.col("depth"), F.col("lab"))), ["label", *SITE], labs)
+    plan = sm.presence_plan(spark.read.parquet(a.truth), rows.filter(trusted_depth(F.col("depth"), F.col("lab"))), ["label", *SITE], labs)
+    plan = cut_lineage(plan.withColumn("beta_bin", beta_bin(F.col("beta_pyro"))))
     key = F.concat_ws(":", "label", "chrom", "start")
-    gold = sm.split(plan.filter("stratum = 'gold'"), key, 0.8, "_28")
-    silver = sm.stratified(plan.filter("stratum <> 'gold'").withColumn("_bin", F.floor(F.col("beta_pyro") / 5)), ["_bin", "occurrence"], key, a.n, "_28").drop("_bin")
-    write_parquet(gold, f"{a.output}/gold", a.on_exists, partition_by=("part",))
-    write_parquet(sm.folds(silver, key, 5, "_28"), f"{a.output}/folds", a.on_exists, partition_by=("fold",))
+    if gold_path in todo:
+        write_parquet(sm.split(plan.filter("stratum = 'gold'"), key, 0.8, "_28", ["label"]), gold_path, a.on_exists, partition_by=("part",))
+    if folds_path in todo:
+        silver = sm.stratified(plan.filter("stratum = 'silver'"), ["label", "beta_bin", "occurrence"], key, a.n, "_28")
+        write_parquet(sm.folds(cut_lineage(silver), key, 5, "_28", ["label"]), folds_path, a.on_exists, partition_by=("fold",))
 
 
 def run_sample(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = _sites(scan_parquet(spark, *a.input)).withColumn("lab", lab(F.col("fname"))).withColumn("label", label(F.col("fname"))).withColumnRenamed("beta", "predicted_beta")
-    meta = spark.read.parquet(a.metadata).withColumn("lab", lab(F.col("fname"))).withColumn("label", label(F.col("fname")))
-    out = sm.dataset(spark.read.parquet(*a.plan), a.labs.split(","), rows.select(*SITE, "label", "lab", "predicted_beta", "depth"), meta.drop("fname"), SITE)
+    """Measurements are those of the first replicate of each lab and label."""
+    if not free(spark, a.on_exists, a.output):
+        return
+    named = lambda df: df.filter("fname like '%\\_1'").withColumn("lab", lab(F.col("fname"))).withColumn("label", label(F.col("fname")))
+    rows = named(_sites(scan_parquet(spark, *a.input))).withColumnRenamed("beta", "predicted_beta")
+    out = sm.dataset(spark.read.parquet(*a.plan), a.labs.split(","), rows.select(*SITE, "label", "lab", "predicted_beta", "depth"), named(spark.read.parquet(a.metadata)).drop("fname"), SITE)
     if a.annotation:
-        out = out.join(spark.read.parquet(a.annotation), SITE, "left")
+        known = [c for c in spark.read.parquet(a.annotation).columns if c not in SITE]
+        out = out.drop(*known).join(spark.read.parquet(a.annotation), SITE, "left")
     write_parquet(out, a.output, a.on_exists)
 
 
@@ -135,10 +204,10 @@ def parser() -> argparse.ArgumentParser:
     i = (("-i", "--input"), some)
     white = (("-w", "--whitelist"), {"nargs": "*"})
     labs = (("--labs",), {"default": "BS1,BS2,BS3,BS4,EM1,EM2,EM3,EM4,PS1,PS2,PS3,RR1"})
-    add("annotate", run_annotate, i, white, (("-n", "--name"), need), (("-r", "--genome"), need), (("--features",), need), (("--tile",), {"type": int, "default": 1024}), (("-s", "--strand"), {"action": "store_true"}), (("--cutoff",), {"type": int, "default": 5}))
+    add("annotate", run_annotate, i, white, (("-n", "--name"), need), (("-r", "--genome"), need), (("--features",), need), (("--tile",), {"type": int, "default": 1024}), (("-s", "--strand"), {"action": "store_true"}), (("-x", "--complexity"), {"help": "module:function from a column of sequences to a measure, in place of the BWT ratio"}), (("--cutoff",), {"type": int, "default": 5}))
     add("stat", run_stat, i, (("-m", "--method"), {"choices": ["BS", "EM", "PS", "RR"]}), (("-n", "--peaks"), {"type": int, "default": 5}))
-    add("divide", run_divide, i, (("-a", "--annotation"), need), (("-m", "--metadata"), need), (("--controls",), {"default": ",".join(CONTROLS)}), (("-c", "--cutoff"), {"type": int, "default": 10}))
-    add("train", run_train, i)
+    add("divide", run_divide, i, (("-a", "--annotation"), need), (("-m", "--metadata"), need), (("--controls",), {"default": ",".join(CONTROLS)}), (("-c", "--cutoff"), {"type": int, "default": 10}), (("--skip-empty-control",), {"action": "store_true"}))
+    add("train", run_train, i, (("-f", "--folds"), {"help": "files for validation: a digit, or one for each label"}), (("--trees",), {"type": int, "default": 10}), (("--shuffles",), {"type": int, "default": 1}))
     add("calibrate", run_calibrate, i, white, (("-md", "--model"), need), (("-mn", "--member"), {"default": "ensemble"}))
     add("impute", run_impute, (("-hi", "--high"), need), (("-li", "--low"), need), (("-n", "--trials"), {"type": int, "default": 100}), (("--per-bin",), {"type": int, "default": 5000}))
     add("merge", run_merge, (("-oi", "--origin"), need), (("-ci", "--control"), need), (("-li", "--low"), need), (("-hi", "--high"), need))

@@ -11,7 +11,7 @@ from betaloom.operators import models as ml
 from betaloom.operators.sampling import stratified
 from betaloom.shared import cut_lineage, sized
 from betaloom.sources.tables import table
-from betaloom.vocab import BASES
+from betaloom.vocab import BASES, BETA_STATS, DEPTH_STATS
 
 #: Training rows taken of each 5-wide beta bin, at most.
 PER_BIN = 300
@@ -54,20 +54,27 @@ def gbt_median_impute(spark: SparkSession, d: str) -> DataFrame:
 
 def stacked_calibrate(spark: SparkSession, d: str) -> DataFrame:
     """All calibrated rows scored by the members and by the ensemble of them."""
-    models, top, _ = ml.stacked(_train(spark, d), ROLES, "actual_beta", "row_id", trees=5)
+    models, top, _ = ml.stacked(_train(spark, d), ROLES, "actual_beta", "row_id", folds=2, trees=5)
     rows = table(spark, d, "calibrated_high_depth").select("row_id", *SITE, "depth", "predicted_beta")
     return ml.predict_stacked(_features(spark, d, rows), models, top).select("row_id", *[F.round(c, 6).alias(c) for c in (*models, "ensemble")])
 
 
 def leaderboard(spark: SparkSession, d: str) -> DataFrame:
-    """Errors over all labelled rows: rows of the training sample by their out-of-fold predictions, the others by the fitted models."""
+    """Errors over all labelled rows: rows of the training sample by predictions out of fold, on both levels, the others by the fitted models."""
     t = _train(spark, d)
-    models, top, table_ = ml.stacked(t, ROLES, "actual_beta", "row_id", trees=5)
+    models, top, table_ = ml.stacked(t, ROLES, "actual_beta", "row_id", folds=2, trees=5)
     names = [*models, "ensemble", "predicted_beta"]
-    scored = [top.transform(table_), ml.predict_stacked(_unused(spark, d, t), models, top)]
+    scored = [table_, ml.predict_stacked(_unused(spark, d, t), models, top)]
     return ml.leaderboard(scored[0].select("actual_beta", *names).unionByName(scored[1].select("actual_beta", *names)), "actual_beta", names)
 
 
+def ensemble_evaluation(spark: SparkSession, d: str) -> DataFrame:
+    """Errors of the ensemble over all labelled rows that it was not fitted on."""
+    t = _train(spark, d)
+    models, top, _ = ml.stacked(t, ROLES, "actual_beta", "row_id", folds=2, trees=5)
+    return ml.evaluation(ml.predict_stacked(_unused(spark, d, t), models, top), "actual_beta", "ensemble")
+
+
 def permutation_importance(spark: SparkSession, d: str) -> DataFrame:
     """Over all labelled rows but those the model is fitted on."""
     fit = _train(spark, d).filter(ml.part(F.col("row_id"), 5) != 0)
@@ -79,5 +86,12 @@ def hpo_trials(spark: SparkSession, d: str) -> DataFrame:
     return ml.search(_train(spark, d), ROLES, "actual_beta", "row_id", trials=3)[1]
 
 
-QUERIES = {f.__name__: f for f in (feature_roles, gbt_median_impute, stacked_calibrate, leaderboard, permutation_importance, hpo_trials)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (feature_roles, gbt_median_impute, stacked_calibrate, leaderboard, ensemble_evaluation, permutation_importance, hpo_trials)}
+
+_KINDS = {"lab": "string", "label": "string", "method": "string", "rep": "number"}
+_NAMES = ["lab", "label", "rep", "method", *DEPTH_STATS, *BETA_STATS]
+SQL = {
+    "feature_roles": " union all ".join(
+        f"select '{c}' as name, case when count(distinct cast({c} as varchar)) <= 1 then 'constant' when count(distinct cast({c} as varchar)) = 2 then 'flag' else '{'category' if _KINDS.get(c) == 'string' else 'number'}' end as role from sample_metadata" for c in _NAMES
+    )
+}

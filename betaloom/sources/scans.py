@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from betaloom.functions.values import contains_any, label
+from betaloom.shared import blocked_cumsum
 
 BED = "chrom string, start long, stop long"
 FLANK_TABLE = BED + ", retrieved_seq string, bwt_ratio double, shannonentropy double"
+TRACKS_TABLE = BED + ", strand string, track string, gene_symbol string"
 OVERLAP_TABLE = BED + ", gene_symbol string, anno string"
 
 
 def scan_parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    """One scan over any number of files or folders, with the file's name stem as `fname`."""
-    return spark.read.parquet(*paths).withColumn("fname", F.element_at(F.split("_metadata.file_name", r"\."), 1))
+    """One scan over any number of files or folders, with the file's name stem as `fname` where the rows do not name their sample."""
+    rows = spark.read.parquet(*paths)
+    return rows if "fname" in rows.columns else rows.withColumn("fname", F.element_at(F.split("_metadata.file_name", r"\."), 1))
 
 
 def pick_files(df: DataFrame, whitelist: Sequence[str] = (), blacklist: Sequence[str] = (), exact_label: str | None = None) -> DataFrame:
@@ -40,6 +44,30 @@ def read_bed(spark: SparkSession, path: str) -> DataFrame:
     return read_tsv(spark, path, BED).withColumn("start", F.col("start") + 1)
 
 
+def read_tracks(spark: SparkSession, path: str) -> DataFrame:
+    """Intervals of annotation tracks: a Parquet table, or text with a header and the columns of TRACKS_TABLE."""
+    if path.rstrip("/").endswith((".tsv", ".txt", ".tsv.gz", ".txt.gz")):
+        return read_tsv(spark, path, TRACKS_TABLE, header=True)
+    return spark.read.parquet(path)
+
+
+def read_fasta(spark: SparkSession, path: str, block: int = 1 << 20) -> DataFrame:
+    """(chrom, offset, seq) of one FASTA file, a row a line of sequence.
+
+    Each line comes with its place in the file, so that the file is read in splits. A line's contig is the last header before
+    it, in its own block of bytes or carried over from earlier ones (a row a block); its offset adds up the lengths of lines before.
+    """
+    io = "org.apache.hadoop.io."
+    lines = spark.sparkContext.newAPIHadoopFile(path, "org.apache.hadoop.mapreduce.lib.input.TextInputFormat", f"{io}LongWritable", f"{io}Text")
+    d = spark.createDataFrame(lines, "at long, line string").withColumn("blk", F.floor(F.col("at") / block)).withColumn("line", F.trim("line"))
+    d = d.withColumn("name", F.when(F.col("line").startswith(">"), F.regexp_extract("line", r"^>\s*(\S*)", 1)))
+    here = d.withColumn("_own", F.last("name", ignorenulls=True).over(W.partitionBy("blk").orderBy("at")))
+    ends = d.groupBy("blk").agg(F.max(F.when(F.col("name").isNotNull(), F.struct("at", "name"))).alias("e"))
+    carried = ends.select("blk", F.last("e.name", ignorenulls=True).over(W.orderBy("blk").rowsBetween(W.unboundedPreceding, -1)).alias("_before"))
+    seq = here.join(carried, "blk").select(F.coalesce("_own", "_before").alias("chrom"), "at", "blk", F.col("line").alias("seq"), F.length("line").alias("len")).filter("chrom is not null and len > 0 and not startswith(seq, '>')")
+    return blocked_cumsum(seq, ["chrom"], "at", "len", F.col("blk"), "upto").select("chrom", (F.col("upto") - F.col("len")).alias("offset"), "seq")
+
+
 def fasta_tiles(lines: DataFrame, tile: int) -> DataFrame:
     """(chrom, tile_no, tile_seq) of equal-width tiles from rows (chrom, offset, seq) of sequence pieces of any width."""
     d = lines.withColumn("t", F.explode(F.sequence(F.floor(F.col("offset") / tile), F.floor((F.col("offset") + F.length("seq") - 1) / tile))))
