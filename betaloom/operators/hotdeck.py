@@ -7,8 +7,8 @@ of other stretches of the group are carried over, one row a stretch. Cells of gr
 wider level.
 
 Defined results: the previous donor wins a tie in distance, and among rows at one position the id orders them. A null
-group value is a group of its own; a record without position has neither distance nor carried donors, and takes a
-donor only from records without position in its group or at a later level by the same rule. A cell stays without value
+group value is a group of its own; a record without position has no distance, and takes a
+donor (the one before it by id, else the one after) only from records without position in its group or at a later level by the same rule. A cell stays without value
 only if no record of the table has one. Repeated rows (equal ids) are cells of their own. An empty table gives no cells. Ids are whole numbers.
 Input columns other than those named are not read, so that extra columns cannot clash.
 """
@@ -42,14 +42,15 @@ def _blocks(base: DataFrame, groups: Sequence[str], width: int) -> DataFrame:
     """base with stretch, part_pos and part, whose order follows (pos, id) and whose groups fit in a task.
 
     A stretch is one block, unless positions in it hold very many rows: then it is cut before and after each of these,
-    and they are cut by bounds of their ids.
+    and they are cut by bounds of their ids. Rows without position are cut by `width` ids.
     """
+    by_id = F.floor(F.col("id") / F.lit(width)).cast("long")
     d = base.withColumn("stretch", F.floor(F.col("pos") / F.lit(width)).cast("long"))
     cuts = F.array(*[F.lit(i / HOT_PARTS) for i in range(1, HOT_PARTS)])
     hot = d.filter("pos is not null").sample(HOT_SAMPLE, 1).groupBy(*groups, "stretch", "pos").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("id", cuts).alias("bounds"))
     hot = cut_lineage(hot.filter(F.col("n") >= HOT_LEAST).groupBy(*groups, "stretch").agg(F.array_sort(F.collect_list(F.struct("pos", "bounds"))).alias("hot")))
     if hot.isEmpty():
-        return d.withColumn("part_pos", F.lit(0).cast("long")).withColumn("part", F.lit(0))
+        return d.withColumn("part_pos", F.lit(0).cast("long")).withColumn("part", F.when(F.col("pos").isNull(), by_id).otherwise(F.lit(0).cast("long")))
     h = sized(hot.select(*[F.col(k).alias(f"h_{k}") for k in [*groups, "stretch"]], "hot"))
     cond = F.lit(True)
     for k in [*groups, "stretch"]:
@@ -58,8 +59,8 @@ def _blocks(base: DataFrame, groups: Sequence[str], width: int) -> DataFrame:
     last = F.try_element_at(F.filter(F.coalesce("hot", F.array().cast(hot.schema["hot"].dataType)), lambda x: x["pos"] <= F.col("pos")), F.lit(-1))
     d = d.withColumn("last_hot", last)
     inside = 1 + F.size(F.filter(F.col("last_hot.bounds"), lambda x: x < F.col("id")))
-    part = F.when(F.col("last_hot").isNull(), 0).when(F.col("last_hot.pos") == F.col("pos"), inside).otherwise(HOT_PARTS + 1)
-    return d.withColumn("part_pos", F.coalesce(F.col("last_hot.pos"), F.lit(-(2**63)))).withColumn("part", part).select(*base.columns, "stretch", "part_pos", "part")
+    part = F.when(F.col("pos").isNull(), by_id).when(F.col("last_hot").isNull(), 0).when(F.col("last_hot.pos") == F.col("pos"), inside).otherwise(HOT_PARTS + 1)
+    return d.withColumn("part_pos", F.coalesce(F.col("last_hot.pos"), F.lit(-(2**63)))).withColumn("part", part.cast("long")).select(*base.columns, "stretch", "part_pos", "part")
 
 
 def _search(base: DataFrame, groups: Sequence[str], names: Sequence[str], width: int) -> DataFrame:
@@ -79,14 +80,14 @@ def _search(base: DataFrame, groups: Sequence[str], names: Sequence[str], width:
         *[F.max(F.when(F.col("is_last"), F.col(f"p_{n}"))).alias(f"last_{n}") for n in names],
         *[F.max(F.when(F.col("is_first"), F.col(f"n_{n}"))).alias(f"first_{n}") for n in names],
     )
-    before = W.partitionBy(*groups).orderBy(*block).rowsBetween(W.unboundedPreceding, -1)
-    after = W.partitionBy(*groups).orderBy(*[F.col(b).desc_nulls_last() for b in block]).rowsBetween(W.unboundedPreceding, -1)
-    # the null stretch (no position) neither gives to nor takes from the others
+    # rows without position neither give to nor take from the others
     placed = F.col("stretch").isNotNull()
+    before = W.partitionBy(*groups, placed).orderBy(*block).rowsBetween(W.unboundedPreceding, -1)
+    after = W.partitionBy(*groups, placed).orderBy(*[F.col(b).desc_nulls_last() for b in block]).rowsBetween(W.unboundedPreceding, -1)
     carried = ends.select(
         *[F.col(k).alias(f"k_{k}") for k in keys],
-        *[F.when(placed, F.last(F.when(placed, F.col(f"last_{n}")), ignorenulls=True).over(before)).alias(f"cp_{n}") for n in names],
-        *[F.when(placed, F.last(F.when(placed, F.col(f"first_{n}")), ignorenulls=True).over(after)).alias(f"cn_{n}") for n in names],
+        *[F.last(f"last_{n}", ignorenulls=True).over(before).alias(f"cp_{n}") for n in names],
+        *[F.last(f"first_{n}", ignorenulls=True).over(after).alias(f"cn_{n}") for n in names],
     )
     cond = F.lit(True)
     for k in keys:

@@ -65,3 +65,16 @@ def test_fill_marks_only_what_it_filled(spark):
     got = {r["rid"]: r for r in fill(df, "rid", "val", "val", F.col("val"), c).collect()}
     assert got[1]["val"] == 2.0 and got[1]["val_filled"] and got[1]["val_donor"] == 2 and got[1]["val_distance"] == 1
     assert got[2]["val"] == 2.0 and not got[2]["val_filled"] and got[2]["extra"] == "x"
+
+
+def test_rows_without_position_are_cut_by_id(spark):
+    rnd = random.Random(6)
+    rows = [(i * 3, rnd.choice("ab"), None, None if rnd.random() < 0.7 else float(rnd.randrange(9))) for i in range(200)] + [(1000, "a", 5, None), (1001, "a", 6, 4.0)]
+    want = []
+    for rid, g, p, v in rows:
+        own = [r for r in rows if r[1] == g and r[3] is not None and r[2] is None]
+        if v is None and p is None:
+            pick = max([r for r in own if r[0] < rid], default=None) or min(r for r in own if r[0] > rid)
+            want.append((rid, str(pick[3]), pick[0], None, "group"))
+    for width in (7, 100_000):
+        assert cells(spark, rows, width)[2] == sorted([*want, (1000, "4.0", 1001, 1, "group")], key=str)
