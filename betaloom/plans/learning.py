@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,11 +53,17 @@ def gbt_median_impute(spark: SparkSession, d: str) -> DataFrame:
     return model.transform(_features(spark, d, low)).select("row_id", F.round("prediction", 6).alias("actual_beta"))
 
 
-def stacked_calibrate(spark: SparkSession, d: str) -> DataFrame:
-    """All calibrated rows scored by the members and by the ensemble of them."""
+def calibration(spark: SparkSession, d: str) -> tuple[DataFrame, dict, PipelineModel]:
+    """Rows to calibrate, with the columns that models use, and the models."""
     models, top, _ = ml.stacked(_train(spark, d), ROLES, "actual_beta", "row_id", folds=2, trees=5)
     rows = table(spark, d, "calibrated_high_depth").select("row_id", *SITE, "depth", "predicted_beta")
-    return ml.predict_stacked(_features(spark, d, rows), models, top).select("row_id", *[F.round(c, 6).alias(c) for c in (*models, "ensemble")])
+    return _features(spark, d, rows), models, top
+
+
+def stacked_calibrate(spark: SparkSession, d: str) -> DataFrame:
+    """All calibrated rows scored by the members and by the ensemble of them."""
+    rows, models, top = calibration(spark, d)
+    return ml.predict_stacked(rows, models, top).select("row_id", *[F.round(c, 6).alias(c) for c in (*models, "ensemble")])
 
 
 def leaderboard(spark: SparkSession, d: str) -> DataFrame:
