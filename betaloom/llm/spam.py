@@ -5,7 +5,7 @@ Two kinds of evidence are taken of every page and joined; neither knows a langua
 Phrase evidence: the five-word shingles of all pages are exploded and their distinct hosts counted. A page's stitched share is
 the part of its shingles that also stand on another host or again on the page itself, its repeated share the part that
 repeats earlier ones, and its copied share the part of its distinct shingles that stand on MANY_HOSTS hosts or more.
-Keywords are phrases of one word: the keyword share is the part of a page's words outside code that a few words hold.
+Keywords are phrases of one word: the keyword share is the part of a page's words that a few words hold.
 
 List-density evidence: a page is cut into segments at line ends and sentence ends. A segment that ends like a sentence is
 prose, one with code, log or table marks is technical, the rest is list-like; density is the share of characters in
@@ -77,7 +77,7 @@ _WORD, _GAP, _TWO_WORDS = r"[\p{L}\p{N}]+", r"[^\p{L}\p{N}]+", r"[\p{L}\p{N}][^\
 
 def visible(text: Column) -> Column:
     """Text without zero-width characters and soft hyphens, which set words apart for a reader of bytes only."""
-    return F.regexp_replace(text, _INVISIBLE, "")
+    return F.regexp_replace(F.replace(text, F.lit(_MARK), F.lit(" ")), _INVISIBLE, "")
 
 
 def _ink(text: Column) -> Column:
@@ -130,8 +130,8 @@ def _key_share(words: str, part: int) -> Column:
     return F.when(n > 0, (F.size(runs) + (k - 1) * F.size(heads)) / n).otherwise(0.0)
 
 
-def list_evidence(pages: DataFrame, text: str) -> DataFrame:
-    """pages (text without invisible characters) with density, bare_links, bare_words, items, products, bare_keyed, short_words, keyed, prose_words and technical.
+def list_evidence(pages: DataFrame, text: str, words: str) -> DataFrame:
+    """pages (text without invisible characters, and the hashes of its words) with density, bare_links, bare_words, items, products, bare_keyed, short_words, keyed, words and technical.
 
     Only built-in expressions; each column that others are made of is a step of its own, so that nothing is computed twice.
     """
@@ -141,23 +141,24 @@ def list_evidence(pages: DataFrame, text: str) -> DataFrame:
     t = F.col("_s")
     d = d.withColumn("_t", where(t.contains("<") | t.contains("["), t, F.regexp_replace(F.regexp_replace(t, _ANCHOR, f" {_MARK} "), _TAG, " ")))
     t = F.col("_t")
-    d = d.withColumns({"_t": where(t.rlike(_HINT), t, F.regexp_replace(t, _LINK, f" {_MARK} ")), "_n": _ink(F.col("_s"))}).drop("_s")
+    d = d.withColumn("_t", where(t.rlike(_HINT), t, F.regexp_replace(t, _LINK, f" {_MARK} ")))
     t = F.col("_t")
     d = d.withColumn("_t", where(t.contains("]("), t, F.regexp_replace(t, _MARKDOWN, f" $1 {_MARK} ")))
     segments = F.filter(F.split("_t", _SEGMENT), lambda x: F.trim(x) != "")
     d = d.withColumn("_seg", F.transform(segments, lambda x: F.struct(_kind(x).alias("k"), x.alias("x"))))
     join = lambda k: F.array_join(F.transform(F.filter("_seg", lambda z: z["k"] == k), lambda z: z["x"]), "\n")
-    d = d.withColumns({"_bare": join("b"), "_prose": join("p"), "_links": F.greatest(F.col("_n") - _ink(F.col("_t")) + _marks(F.col("_t")), F.lit(0)), "_all": _marks(F.col("_t"))})
-    d = d.withColumns({"_ink_b": _ink(F.translate("_bare", _MARK, "")), "_ink_p": _ink(F.translate("_prose", _MARK, "")), "_ink": _ink(F.translate("_t", _MARK, "")), "bare_links": _marks(F.col("_bare"))})
-    d = d.drop("_seg", "_t", "_n").withColumns({"_w": word_list(F.translate("_bare", "_", " ")), "_wp": word_hashes(F.translate("_prose", "_", " "))})
-    d = d.withColumn("_wb", F.transform("_w", lambda x: F.xxhash64(x)))
-    d = d.withColumns({"_sb": F.sort_array("_wb"), "_sa": F.sort_array(F.concat("_wb", "_wp"))})
-    whole = F.greatest(F.col("_links") + F.col("_ink"), F.lit(1))
-    linked = F.col("_links") * F.col("bare_links") / F.greatest("_all", F.lit(1))
+    d = d.withColumns({"_bare": join("b"), "_tech": join("t"), "_marks": _marks(F.col("_t")), "_ink": _ink(F.col("_t"))}).drop("_seg", "_t")
+    d = d.withColumns({"bare_links": _marks(F.col("_bare")), "_ink_b": _ink(F.col("_bare")), "_ink_t": _ink(F.col("_tech")), "_w": word_list(F.translate("_bare", "_", " "))})
+    # a mark stands for the link or tag whose characters it took the place of
+    d = d.withColumn("_links", F.when(F.col("_marks") > 0, F.greatest(_ink(F.col("_s")) - F.col("_ink") + F.col("_marks"), F.lit(0))).otherwise(0)).drop("_s")
+    d = d.withColumns({"_sb": F.sort_array(F.transform("_w", lambda x: F.xxhash64(x))), "_sa": F.sort_array(words)})
+    c = F.col
+    whole = F.greatest(c("_links") + c("_ink") - c("_marks"), F.lit(1))
+    linked = c("_links") * c("bare_links") / F.greatest("_marks", F.lit(1))
     out = {
-        "density": (linked + F.col("_ink_b")) / whole,
-        "technical": (F.col("_ink") - F.col("_ink_b") - F.col("_ink_p")) / whole,
-        "bare_words": F.size("_wb"),
+        "density": (linked + c("_ink_b") - c("bare_links")) / whole,
+        "technical": (c("_ink_t") - _marks(c("_tech"))) / whole,
+        "bare_words": F.size("_w"),
         "items": F.size(F.filter(F.split("_bare", _ITEM), lambda x: F.trim(x) != "")),
         "products": F.regexp_count("_bare", F.lit(_PRODUCT)),
         "bare_keyed": _key_share("_sb", KEY_PART),
@@ -165,7 +166,7 @@ def list_evidence(pages: DataFrame, text: str) -> DataFrame:
         "keyed": _key_share("_sa", DRESSED_PART),
         "words": F.size("_sa"),
     }
-    return d.withColumns(out).drop("_bare", "_prose", "_links", "_all", "_ink_b", "_ink_p", "_ink", "_w", "_wp", "_wb", "_sb", "_sa")
+    return d.withColumns(out).drop("_bare", "_tech", "_links", "_marks", "_ink_b", "_ink_t", "_ink", "_w", "_sb", "_sa")
 
 
 EVIDENCE = ["density", "bare_links", "bare_words", "items", "products", "bare_keyed", "short_words", "keyed", "words", "technical"]
@@ -215,7 +216,7 @@ def pages(docs: DataFrame, id_col: str, host_col: str, text_col: str) -> DataFra
     pass takes list density and counted shingles.
     """
     d = docs.select(F.col(id_col).alias("id"), host_of(host_col, id_col).alias("host"), visible(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
-    e = list_evidence(d, "text").withColumn("w", word_hashes(F.col("text"))).drop("text")
+    e = list_evidence(d.withColumn("w", word_hashes(F.col("text"))), "text", "w").drop("text")
     # separate columns of word hashes and of sorted shingles, so that texts are split once
     e = e.withColumn("s", F.sort_array(shingles("w"))).drop("w")
     once, again = _once_and_again("s")

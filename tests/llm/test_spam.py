@@ -53,7 +53,8 @@ STUFFED = [
 
 def evidence(spark, texts):
     d = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    return [r for r in list_evidence(d.na.fill(""), "text").orderBy("id").collect()]
+    d = d.na.fill("").withColumn("w", word_hashes(F.col("text")))
+    return list_evidence(d, "text", "w").orderBy("id").collect()
 
 
 def test_density(spark):
