@@ -16,7 +16,7 @@ from betaloom.operators import models as ml
 from betaloom.operators import sampling as sm
 from betaloom.operators import stats as st
 from betaloom.operators.annotate import annotate, sequence_features, short_name, summarise_overlaps
-from betaloom.operators.checks import not_empty, require_columns
+from betaloom.operators.checks import not_empty, not_null, require_columns
 from betaloom.operators.intervals import flank, overlap_join, tile_lookup
 from betaloom.plans.learning import ROLES
 from betaloom.shared import cut_lineage
@@ -65,7 +65,7 @@ def run_annotate(spark: SparkSession, a: argparse.Namespace) -> None:
         tiles = fasta_tiles(read_fasta(spark, a.genome), a.tile) if a.genome.endswith((".fa", ".fasta", ".fna")) else spark.read.parquet(a.genome)
         wide = flank(sites.filter("start >= 70"), 70, 70)
         seqs = tile_lookup(wide, tiles, a.tile).select("chrom", (F.col("start") + 70).alias("start"), (F.col("stop") - 70).alias("stop"), "seq")
-        features = cut_lineage(sequence_features(seqs, complexity=_callable(a.complexity, bwt_ratio)))
+        features = cut_lineage(not_null(sequence_features(seqs, complexity=_callable(a.complexity, bwt_ratio))))
         pairs = overlap_join(sites.join(features.select(*SITE, "strand"), SITE, "left"), read_tracks(spark, a.features), a.strand)
         summary = summarise_overlaps(pairs.select(*SITE, F.col("f_gene_symbol").alias("gene_symbol"), short_name(F.col("f_track")).alias("anno")))
         write_parquet(annotate(sites, features, summary), table, a.on_exists)

@@ -10,6 +10,7 @@ from betaloom.functions.sequence import neighbours
 from betaloom.functions.values import beta_bin
 from betaloom.operators import models as ml
 from betaloom.operators.sampling import stratified
+from betaloom.plans.sites import ORIENTED
 from betaloom.shared import cut_lineage, sized
 from betaloom.sources.tables import table
 from betaloom.vocab import BASES, BETA_STATS, DEPTH_STATS
@@ -40,6 +41,12 @@ def _unused(spark: SparkSession, d: str, fitted: DataFrame) -> DataFrame:
     return _features(spark, d, _labelled(spark, d).join(sized(fitted.select("row_id")), "row_id", "left_anti"))
 
 
+def prepared_features(spark: SparkSession, d: str) -> DataFrame:
+    """What models see of the calibrated rows: numbers without gaps, categories as text, flags as numbers."""
+    rows = table(spark, d, "calibrated_high_depth").select("row_id", *SITE, "depth", "predicted_beta")
+    return _features(spark, d, rows).select("row_id", *ROLES.numbers, *ROLES.categories, *ROLES.flags)
+
+
 def feature_roles(spark: SparkSession, d: str) -> DataFrame:
     m = table(spark, d, "sample_metadata")
     return ml.feature_roles(m, [c for c in m.columns if c != "fname"])
@@ -93,11 +100,15 @@ def hpo_trials(spark: SparkSession, d: str) -> DataFrame:
     return ml.search(_train(spark, d), ROLES, "actual_beta", "row_id", trials=3)[1]
 
 
-QUERIES = {f.__name__: f for f in (feature_roles, gbt_median_impute, stacked_calibrate, leaderboard, ensemble_evaluation, permutation_importance, hpo_trials)}
+QUERIES = {f.__name__: f for f in (prepared_features, feature_roles, gbt_median_impute, stacked_calibrate, leaderboard, ensemble_evaluation, permutation_importance, hpo_trials)}
 
 _KINDS = {"lab": "string", "label": "string", "method": "string", "rep": "number"}
 _NAMES = ["lab", "label", "rep", "method", *DEPTH_STATS, *BETA_STATS]
+_NUM = lambda x: f"coalesce(case when not isnan(cast({x} as double)) then cast({x} as double) end, 0.0e0)"
 SQL = {
+    "prepared_features": "select row_id, "
+    + ", ".join([f"{_NUM(c)} as {c}" for c in ROLES.numbers] + [f"coalesce({c}, '') as {c}" for c in ("location", "cpg")] + [f"coalesce(substr({ORIENTED}, {i + 1}, 1), '') as {k}" for k, i in BASES.items()] + [f"coalesce(cast({c} as double), 0.0e0) as {c}" for c in ROLES.flags])
+    + " from calibrated_high_depth c left join annotation a on c.chrom = a.chrom and c.start = a.start and c.stop = a.stop",
     "feature_roles": " union all ".join(
         f"select '{c}' as name, case when count(distinct cast({c} as varchar)) <= 1 then 'constant' when count(distinct cast({c} as varchar)) = 2 then 'flag' else '{'category' if _KINDS.get(c) == 'string' else 'number'}' end as role from sample_metadata" for c in _NAMES
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from betaloom.functions import sequence as sq
 from betaloom.functions.values import beta_bin, clip_beta
 from betaloom.operators.annotate import annotate, sequence_features, short_name, summarise_overlaps, with_complexity
+from betaloom.operators.checks import not_null
 from betaloom.operators.intervals import flank, overlap_join, tile_lookup
 from betaloom.plans.fixtures import FEATURES, SEQS, SITES, view
 from betaloom.sources.scans import pick_files
@@ -87,6 +88,15 @@ def reverse_complement(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "annotation").select("site_id", sq.plus_oriented(F.upper("seq_5")).alias("seq"))
 
 
+#: Columns without which a site is of no use to a model.
+NEEDED = ["site_id", "chrom", "start", "stop", "strand", "ctx_type", "seq_5", "gc_70", "gc_skew_70", "shannonentropy_70"]
+
+
+def complete_sites(spark: SparkSession, d: str) -> DataFrame:
+    """Sites with a value, or NaN, in all columns that are needed."""
+    return not_null(table(spark, d, "annotation").select(NEEDED)).select("site_id")
+
+
 def base_split(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "annotation").select("site_id", *[c.alias(k) for k, c in sq.neighbours(F.upper("seq_5")).items()])
 
@@ -156,7 +166,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         sites_pileup, site_filter_distinct, site_union_distinct, file_whitelist, file_blacklist, flank_expand, seq_slices, base_counts, gc_features, strand_context, shannon_entropy, bwt_ratio,
-        reverse_complement, base_split, beta_bins, clipped_beta, clipped_beta_whole, genome_tile_lookup, overlaps, overlaps_stranded, overlap_summary, annotate_sites, annotate_sites_whole, context_betas,
+        reverse_complement, complete_sites, base_split, beta_bins, clipped_beta, clipped_beta_whole, genome_tile_lookup, overlaps, overlaps_stranded, overlap_summary, annotate_sites, annotate_sites_whole, context_betas,
     )
 }
 
@@ -169,7 +179,7 @@ _CTX = f"""case when {_B(0)} = 'C' then case when {_B(1)} = 'G' then 'CpG' when
  when {_B(0)} = 'G' then case when {_B(-1)} = 'C' then 'CpG' when {_B(-2)} = 'C' then 'CHG' else 'CHH' end else '?' end"""
 _ENT = " + ".join(f"case when {n} > 0 then -({n} / length(seq)) * log2({n} / length(seq)) else 0.0 end" for n in _N.values())
 _SKEW, _RATIO = f"({_N['G']} - {_N['C']}) / nullif({_GC}, 0)", f"len(regexp_extract_all(seq, '(GC|CG)')) / nullif({_GC}, 0)"
-_ORIENT = "case when substr(upper(seq_5), 6, 1) = 'C' then upper(seq_5) else translate(reverse(upper(seq_5)), 'ACGT', 'TGCA') end"
+ORIENTED = "case when substr(upper(seq_5), 6, 1) = 'C' then upper(seq_5) else translate(reverse(upper(seq_5)), 'ACGT', 'TGCA') end"
 _OVER = f"with s as ({SITES}), f as ({FEATURES}) select s.chrom, s.start, f.start as f_start, f.stop as f_stop, track, gene_symbol from s join f on s.chrom = f.chrom and s.start < f.stop and f.start < s.stop"
 _SHORT = "case track " + " ".join(f"when '{k}' then '{v}'" for k, v in TRACKS.items()) + " end"
 _RANK = lambda names: "case " + _SHORT + " " + " ".join(f"when '{x}' then {i}" for i, x in enumerate(names)) + f" else {len(names) - 1} end"
@@ -191,8 +201,9 @@ SQL = {
     "gc_features": f"select chrom, start, round({_GC} / 142.0, 9) as gc_70, round({_SKEW}, 9) as gc_skew_70, round({_RATIO}, 9) as cpg_gc_ratio_70 from ({SEQS}) q",
     "strand_context": f"select {_STRAND} as strand, {_CTX} as ctx_type, count(*) as n from ({SEQS}) q group by all",
     "shannon_entropy": f"select chrom, start, round({_ENT}, 9) as entropy from ({SEQS}) q",
-    "reverse_complement": f"select site_id, {_ORIENT} as seq from annotation",
-    "base_split": "select site_id, " + ", ".join(f"substr({_ORIENT}, {i + 1}, 1) as {k}" for k, i in BASES.items()) + " from annotation",
+    "reverse_complement": f"select site_id, {ORIENTED} as seq from annotation",
+    "complete_sites": "select site_id from annotation where " + " and ".join(f"{c} is not null" for c in NEEDED),
+    "base_split": "select site_id, " + ", ".join(f"substr({ORIENTED}, {i + 1}, 1) as {k}" for k, i in BASES.items()) + " from annotation",
     "beta_bins": f"select {_BINS} as beta_bin, count(*) as n from calibrated_high_depth group by 1",
     "clipped_beta": "select row_id, case when beta < 0 then 0.0e0 when beta > 100 then 100.0e0 else beta end as beta from low_depth where beta is null or not isnan(beta)",
     "clipped_beta_whole": "select row_id, case when isnan(beta) then null when beta < 0 then 0.0e0 when beta > 100 then 100.0e0 else beta end as beta from low_depth",
