@@ -151,7 +151,8 @@ def annotate_sites(spark: SparkSession, d: str) -> DataFrame:
 def annotate_sites_whole(spark: SparkSession, d: str) -> DataFrame:
     """annotate_sites with the columns that its SQL has not: cpg_gc_ratio_70 and bwt_ratio_70."""
     seqs = view(spark, d, SEQS)
-    return annotate(seqs.select("chrom", "start", "stop").distinct(), sequence_features(seqs), _summary(spark, d))
+    full = annotate(seqs.select("chrom", "start", "stop").distinct(), sequence_features(seqs), _summary(spark, d))
+    return full.select(*[r(F.col(c), c) if t == "double" else F.col(c) for c, t in full.dtypes])
 
 
 def context_betas(spark: SparkSession, d: str) -> DataFrame:
@@ -188,6 +189,12 @@ _SUMMARY = f"""select chrom, start, start + 1 as stop, string_agg(distinct gene_
  bool_or({_SHORT} = 'enhancer') as enhancer, bool_or({_SHORT} = 'lncrna') as lncrna, {_NAME(CPG)} as cpg, {_NAME(LOCATIONS)} as location from ({_OVER}) o group by chrom, start"""
 _BINS = "case when predicted_beta is null then null " + " ".join(f"when predicted_beta <= {b + 5} then '{b}-{b + 5}'" for b in range(0, 95, 5)) + " else '95-100' end"
 _TILES = " || ".join(f"translate(md5(concat_ws(':', chrom, {{t}}, '{k}')), '0123456789abcdef', 'ACGTACGTACGTACGT')" for k in range(4))
+_ANNOTATED = f"""q.chrom, q.start, q.stop, {_STRAND} as strand, {_CTX} as ctx_type, substr(seq, 66, 11) as seq_5, round({_GC} / 142.0, 9) as gc_70, round({_SKEW}, 9) as gc_skew_70, round({_ENT}, 9) as shannonentropy_70,
+ gene_symbols, promoter, enhancer, lncrna, cpg, location"""
+# the last column of the sorted suffixes, and how often neighbours in it differ
+_BWT = f"""s as (select chrom, start, seq || '$' as t from ({SEQS}) s0),
+o as (select chrom, start, [x.c for x in list_sort([{{'s': substr(t, i, 200), 'c': substr(t, case when i = 1 then len(t) else i - 1 end, 1)}} for i in range(1, len(t) + 1)])] as l from s),
+bwt as (select chrom, start, (1 + len([1 for i in range(1, len(l)) if l[i] <> l[i + 1]])) / len(l) as bwt_ratio from o)"""
 
 SQL = {
     "sites_pileup": f"select chrom, start, cast(sum(m) as bigint) as m, cast(sum(u) as bigint) as u, cast(sum(depth) as bigint) as depth, count(*) as n_rows from formatted_bedgraph where chrom in {_IN} and depth between 1 and 1000 group by all",
@@ -212,9 +219,9 @@ select chrom, start, stop, substr({_TILES.format(t="t0")} || {_TILES.format(t="t
     "overlaps": _OVER,
     "overlaps_stranded": _OVER + " and (f.strand = '*' or f.strand = s.strand)",
     "overlap_summary": _SUMMARY,
-    "annotate_sites": f"""with q as (select distinct * from ({SEQS}) q0), m as ({_SUMMARY})
-select q.chrom, q.start, q.stop, {_STRAND} as strand, {_CTX} as ctx_type, substr(seq, 66, 11) as seq_5, round({_GC} / 142.0, 9) as gc_70, round({_SKEW}, 9) as gc_skew_70, round({_ENT}, 9) as shannonentropy_70,
- gene_symbols, promoter, enhancer, lncrna, cpg, location from q left join m on q.chrom = m.chrom and q.start = m.start and q.stop = m.stop""",
+    "annotate_sites": f"with q as (select distinct * from ({SEQS}) q0), m as ({_SUMMARY}) select {_ANNOTATED} from q left join m on q.chrom = m.chrom and q.start = m.start and q.stop = m.stop",
+    "annotate_sites_whole": f"with q as (select distinct * from ({SEQS}) q0), m as ({_SUMMARY}), {_BWT} select {_ANNOTATED}, round({_RATIO}, 9) as cpg_gc_ratio_70, round(bwt_ratio, 9) as bwt_ratio_70 from q left join m on q.chrom = m.chrom and q.start = m.start and q.stop = m.stop join bwt on q.chrom = bwt.chrom and q.start = bwt.start",
+    "bwt_ratio": f"with {_BWT} select * from bwt",
     "context_betas": f"""select substr(fname, 1, 2) as method, ctx_type, count(*) as n, round(avg(beta), 6) as mean_beta, round(avg(case when beta < 0 then 0 when beta > 100 then 100 else beta end), 6) as mean_clipped
 from formatted_bedgraph b join annotation a using (chrom, start, stop) where chrom in {_IN} and depth >= 10 and not isnan(beta) group by all""",
 }
