@@ -110,7 +110,8 @@ def mix(sizes: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(mix, report). sizes: rec, source (plain), size. targets: source (plain, unique), name, target_share, max_repeats.
 
     mix has every record that is taken, with its copies; report has, per target, what was wanted, what was reached and
-    whether the cap kept it short.
+    whether the cap kept it short. target_share is a share of all units there are (share_of_all is the one to set beside it);
+    share_of_mix grows beyond it where short sources leave room, and deviation is how far a source is from what was wanted.
     """
     p = cut_lineage(plan(sizes, targets))
     d = sizes.join(sized(p.select("source", "whole", "extra", F.col("size").alias("_all"))), "source")
@@ -135,6 +136,7 @@ def mix(sizes: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
         F.when(F.col("all_units") > 0, F.coalesce("mixed_units", F.lit(0)) / F.col("all_units")).alias("share_of_all"),
         F.when(F.col("mix_units") > 0, F.coalesce("mixed_units", F.lit(0)) / F.col("mix_units")).alias("share_of_mix"),
+        F.when(F.col("want") > 0, F.coalesce("mixed_units", F.lit(0)) / F.col("want") - 1).alias("deviation"),
         "short",
     )
     return out, report

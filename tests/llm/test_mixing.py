@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from betaloom.llm.mixing import cube_sample, mix, plain
+from betaloom.llm.mixing import _flight, cube_sample, mix, plain
 
 S = "rec long, source string, size long"
 T = "source string, name string, target_share double, max_repeats long"
@@ -34,6 +36,28 @@ def test_shares_caps_and_report(spark):
     assert {copies.get(9000 + i, 0) for i in range(600)} <= {int(r["Mid"]["want"] // r["Mid"]["size"]), int(r["Mid"]["want"] // r["Mid"]["size"]) + 1}
 
 
+def test_walk_keeps_probabilities_and_balance():
+    rnd = random.Random(9)
+    size, pi = [float(rnd.randrange(1, 300)) for _ in range(40)], 0.37
+    runs, units = np.zeros(40), []
+    for h in range(1, 1501):
+        got = _flight(pd.DataFrame({"source": "a", "rec": range(40), "size": size, "h": [h * 40 + i for i in range(40)], "pi": pi}), True).sort_values("rec")["pi"].to_numpy()
+        assert set(got) <= {0.0, 1.0} and abs(got.sum() - 40 * pi) <= 2
+        runs += got
+        units.append(got @ size)
+    # every record keeps its probability (five standard errors), and units vary far less than if each were drawn by itself
+    assert np.abs(runs / 1500 - pi).max() < 5 * (pi * (1 - pi) / 1500) ** 0.5
+    assert abs(np.mean(units) - pi * sum(size)) < 0.01 * sum(size) and np.var(units) < 0.1 * pi * (1 - pi) * sum(x * x for x in size)
+
+
+def test_deviation_is_from_what_was_wanted(spark):
+    docs = [(i, "a", 10) for i in range(100)] + [(1000 + i, "b", 10) for i in range(5)]
+    _, report = mix(spark.createDataFrame(docs, S), spark.createDataFrame([("a", "A", 0.5, 2), ("b", "B", 0.4, 2), ("c", "C", None, 1)], T))
+    r = {x["source"]: x for x in report.collect()}
+    assert abs(r["A"]["deviation"]) < 0.03 and abs(r["B"]["deviation"] - (100 / 420 - 1)) < 1e-9 and r["C"]["deviation"] is None
+    assert abs(r["A"]["share_of_all"] - 0.5) < 0.02 < r["A"]["share_of_mix"] - 0.5
+
+
 def test_empty(spark):
     out, report = mix(spark.createDataFrame([], S), spark.createDataFrame([("a", "a", 0.5, 2)], T))
     assert out.count() == 0 and report.first()["mixed_units"] == 0 and not report.first()["short"]
