@@ -21,7 +21,7 @@ from betaloom.operators.intervals import flank, overlap_join, tile_lookup
 from betaloom.plans.learning import ROLES
 from betaloom.shared import cut_lineage
 from betaloom.sources.scans import fasta_tiles, pick_files, read_fasta, read_tracks, scan_parquet
-from betaloom.sources.sinks import complete, exists, free, write_parquet, write_tsv
+from betaloom.sources.sinks import complete, exists, free, stage, write_parquet, write_tsv, write_twice
 from betaloom.vocab import BETA_STATS, CONTIGS, CONTROLS, DEPTH_STATS
 
 SITE = ["chrom", "start", "stop"]
@@ -65,7 +65,8 @@ def run_annotate(spark: SparkSession, a: argparse.Namespace) -> None:
         tiles = fasta_tiles(read_fasta(spark, a.genome), a.tile) if a.genome.endswith((".fa", ".fasta", ".fna")) else spark.read.parquet(a.genome)
         wide = flank(sites.filter("start >= 70"), 70, 70)
         seqs = tile_lookup(wide, tiles, a.tile).select("chrom", (F.col("start") + 70).alias("start"), (F.col("stop") - 70).alias("stop"), "seq")
-        features = cut_lineage(not_null(sequence_features(seqs, complexity=_callable(a.complexity, bwt_ratio))))
+        made = lambda: not_null(sequence_features(seqs, complexity=_callable(a.complexity, bwt_ratio)))
+        features = stage(spark, f"{a.stages}/{a.name}.features.parquet", made) if a.stages else cut_lineage(made())
         pairs = overlap_join(sites.join(features.select(*SITE, "strand"), SITE, "left"), read_tracks(spark, a.features), a.strand)
         summary = summarise_overlaps(pairs.select(*SITE, F.col("f_gene_symbol").alias("gene_symbol"), short_name(F.col("f_track")).alias("anno")))
         write_parquet(annotate(sites, features, summary), table, a.on_exists)
@@ -75,11 +76,11 @@ def run_annotate(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def run_stat(spark: SparkSession, a: argparse.Namespace) -> None:
     table, meta = f"{a.output}.stats.parquet", f"{a.output}.metadata.parquet"
-    todo = free(spark, a.on_exists, table, *([meta] if a.peaks >= 5 else []))
+    todo = free(spark, a.on_exists, table, f"{a.output}.stats.csv", *([meta] if a.peaks >= 5 else []))
     if table in todo:
         c = cut_lineage(st.counts(require_columns(scan_parquet(spark, *a.input), ["beta", "depth"]), "fname", ["beta", "depth"]))
         named = c.select("fname").distinct().withColumn("method", F.lit(a.method) if a.method else method(F.col("fname")))
-        write_parquet(st.full_table(c, named, a.peaks), table, a.on_exists)
+        write_twice(st.full_table(c, named, a.peaks), f"{a.output}.stats", a.on_exists)
     if meta in todo:
         write_parquet(st.model_metadata(spark.read.parquet(table)), meta, a.on_exists)
 
@@ -140,7 +141,7 @@ def run_impute(spark: SparkSession, a: argparse.Namespace) -> None:
     high = sm.stratified(spark.read.parquet(a.high).withColumn("_bin", beta_bin(F.col("predicted_beta"))), ["_bin"], F.concat_ws(":", "chrom", "start"), a.per_bin, "_28")
     train, roles = _model_input(high)
     train = cut_lineage(train.withColumn("_key", F.xxhash64("chrom", "start")))
-    best, trials = ml.search(train, roles, "actual_beta", "_key", a.trials)
+    best, trials = ml.search(train, roles, "actual_beta", "_key", a.trials, seconds=a.seconds)
     model = ml.median_model(train.withColumn("_held", ml.part(F.col("_key"), 5) == 0), roles, "actual_beta", valid="_held", **best)
     low, _ = _model_input(spark.read.parquet(a.low).drop("actual_beta"))
     write_parquet(model.transform(low).withColumnRenamed("prediction", "actual_beta").select(*[c for c in ("fname", *SITE) if c in low.columns], "actual_beta"), a.output, a.on_exists)
@@ -204,12 +205,12 @@ def parser() -> argparse.ArgumentParser:
     i = (("-i", "--input"), some)
     white = (("-w", "--whitelist"), {"nargs": "*"})
     labs = (("--labs",), {"default": "BS1,BS2,BS3,BS4,EM1,EM2,EM3,EM4,PS1,PS2,PS3,RR1"})
-    add("annotate", run_annotate, i, white, (("-n", "--name"), need), (("-r", "--genome"), need), (("--features",), need), (("--tile",), {"type": int, "default": 1024}), (("-s", "--strand"), {"action": "store_true"}), (("-x", "--complexity"), {"help": "module:function from a column of sequences to a measure, in place of the BWT ratio"}), (("--cutoff",), {"type": int, "default": 5}))
+    add("annotate", run_annotate, i, white, (("-n", "--name"), need), (("-r", "--genome"), need), (("--features",), need), (("--tile",), {"type": int, "default": 1024}), (("-s", "--strand"), {"action": "store_true"}), (("-x", "--complexity"), {"help": "module:function from a column of sequences to a measure, in place of the BWT ratio"}), (("--stages",), {"help": "folder for sequence features, from which a run that broke off goes on"}), (("--cutoff",), {"type": int, "default": 5}))
     add("stat", run_stat, i, (("-m", "--method"), {"choices": ["BS", "EM", "PS", "RR"]}), (("-n", "--peaks"), {"type": int, "default": 5}))
     add("divide", run_divide, i, (("-a", "--annotation"), need), (("-m", "--metadata"), need), (("--controls",), {"default": ",".join(CONTROLS)}), (("-c", "--cutoff"), {"type": int, "default": 10}), (("--skip-empty-control",), {"action": "store_true"}))
     add("train", run_train, i, (("-f", "--folds"), {"help": "files for validation: a digit, or one for each label"}), (("--trees",), {"type": int, "default": 10}), (("--shuffles",), {"type": int, "default": 1}))
     add("calibrate", run_calibrate, i, white, (("-md", "--model"), need), (("-mn", "--member"), {"default": "ensemble"}))
-    add("impute", run_impute, (("-hi", "--high"), need), (("-li", "--low"), need), (("-n", "--trials"), {"type": int, "default": 100}), (("--per-bin",), {"type": int, "default": 5000}))
+    add("impute", run_impute, (("-hi", "--high"), need), (("-li", "--low"), need), (("-n", "--trials"), {"type": int, "default": 100}), (("--seconds",), {"type": float, "help": "no trial begins after that time"}), (("--per-bin",), {"type": int, "default": 5000}))
     add("merge", run_merge, (("-oi", "--origin"), need), (("-ci", "--control"), need), (("-li", "--low"), need), (("-hi", "--high"), need))
     add("plan", run_plan, i, labs, (("-r", "--truth"), need), (("-n",), {"type": int, "default": 500}))
     add("sample", run_sample, i, labs, (("-p", "--plan"), some), (("-m", "--metadata"), need), (("-a", "--annotation"), {"help": "sequence features and overlaps, without which nothing can be trained on the result"}))

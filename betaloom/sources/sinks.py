@@ -46,6 +46,6 @@ def stage(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> Data
 
 
 def write_twice(df: DataFrame, stem: str, on_exists: str = "error") -> None:
-    """The same table as CSV and as Parquet."""
-    df.write.mode(MODES[on_exists]).option("header", True).csv(f"{stem}.csv")
+    """The same table as Parquet and, read back from it, as CSV."""
     write_parquet(df, f"{stem}.parquet", on_exists)
+    df.sparkSession.read.parquet(f"{stem}.parquet").write.mode(MODES[on_exists]).option("header", True).csv(f"{stem}.csv")

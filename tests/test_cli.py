@@ -78,13 +78,15 @@ def test_all_commands_chain(spark, tmp_path):
     truth = [(x, c, i, i + 1, float((i * 7) % 101), "gold" if i % 5 == 0 else "silver") for x in ("D5", "D6") for c, i in sites]
     pd.DataFrame(truth, columns=["label", "chrom", "start", "stop", "beta_pyro", "stratum"]).to_parquet(t / "truth.parquet")
 
-    run(spark, "annotate", "-i", *beds, "-o", t / "anno", "-n", "x", "-r", t / "genome.fa", "--features", t / "tracks.tsv", "-x", "test_cli:reverse_share")
+    run(spark, "annotate", "-i", *beds, "-o", t / "anno", "-n", "x", "-r", t / "genome.fa", "--features", t / "tracks.tsv", "-x", "test_cli:reverse_share", "--stages", t / "stages")
+    assert spark.read.parquet(str(t / "stages/x.features.parquet")).count() == len(sites)
     anno = spark.read.parquet(str(t / "anno/x.parquet"))
     assert anno.count() == len(sites) and anno.filter("promoter").count() == sum(c == "chr2" and i < 5000 for c, i in sites)
     assert {r["bwt_ratio_70"] for r in anno.select("bwt_ratio_70").distinct().collect()} == {0.141}
     assert {(r["chrom"], r["start"]): r["seq_5"] for r in anno.collect()} == {(c, i): genome[c][i - 5 : i + 6] for c, i in sites}
     run(spark, "stat", "-i", *beds, "-o", t / "all")
     meta = spark.read.parquet(str(t / "all.metadata.parquet"))
+    assert spark.read.option("header", True).csv(str(t / "all.stats.csv")).count() == spark.read.parquet(str(t / "all.stats.parquet")).count() == 6
     assert meta.count() == 3 and set(meta.columns) == {"fname", "method", *BETA_STATS, *DEPTH_STATS} and meta.filter(f"depth10_count = {len(sites) + 5}").count() == 3
     run(spark, "divide", "-i", *beds, "-o", t / "div", "-a", t / "anno/x.parquet", "-m", t / "all.metadata.parquet")
     with pytest.raises(FileExistsError):

@@ -180,3 +180,12 @@ def test_incremental_scoring_skips_what_is_done(spark, tmp_path):
     spark.range(2).select(F.col("id").alias("x")).coalesce(1).write.mode("append").parquet(src)
     run()
     assert spark.read.parquet(out).count() == 5
+
+
+def test_search_draws_all_parameters_and_ends_in_time(spark):
+    from betaloom.operators.models import Roles, median_model, search
+
+    d = spark.range(300).select("id", (F.col("id") % 17).cast("double").alias("x"), ((F.col("id") % 17) * 2.0).alias("y"))
+    best, trials = search(d, Roles(["x"]), "y", "id", trials=50, seconds=0.0)
+    assert trials.count() == 1 and set(best) == {"trees", "depth", "rate", "subsample", "columns", "leaf", "gain", "bins"} == set(trials.columns) - {"trial", "loss"}
+    assert median_model(d, Roles(["x"]), "y", **best).transform(d).filter("prediction is null").count() == 0
