@@ -15,7 +15,7 @@ few (bare_keyed) and of short words are counted over the list-like segments.
 A page is flagged if
 - most of it is list-like, and this is borne out by many bare links, by many short items with few short words, by product
   marks, by a few words that hold most of it, or by a long run of words with no punctuation and hardly any short words;
-  where its phrases are replicated, a third of these links, items and words is enough;
+  where its phrases are replicated, a third of these items and words is enough;
 - a few words hold most of its prose as well (keywords dressed as sentences), and it is not mainly technical;
 - nearly all of its phrases are replicated, most of them on the page itself, and it is not mainly technical; or
 - it is long enough, and all its phrases stand on MANY_HOSTS hosts or more (one text posted everywhere).
@@ -43,10 +43,10 @@ FEW_ITEMS, ITEM_WORDS, SHORT_LISTED = 10, 4, 0.35  # items that bear out a list
 PRODUCT_WORDS = 8  # words for each product mark, at most, in a list of products
 KEY_PART, KEYED = 20, 0.4  # list-like words: each key word holds one in KEY_PART, all of them KEYED
 DRESSED_PART = 6  # the same over prose as well, where genuine posts repeat themselves too
-RUN_WORDS, SHORT_WORDS = 40, 0.2  # words of a run without punctuation, and its short words at most
-STITCHED, FEWER = 0.8, 3  # replicated share that bears out lists with links, words and items fewer by this divisor
+RUN_WORDS, SHORT_WORDS = 20, 0.2  # words of a run without punctuation, and its short words at most
+STITCHED, FEWER = 0.8, 3  # replicated share that bears out lists with words and items fewer by this divisor
 REPEATED, TECHNICAL = 0.6, 0.5  # repeated share that flags a stitched page, unless so much of it is technical
-MANY_HOSTS, COPY_WORDS = 30, 20  # hosts of all phrases of a page of so many phrases that is posted everywhere
+MANY_HOSTS, COPY_WORDS = 40, 10  # hosts of all phrases of a page of so many phrases that is posted everywhere
 
 # --- fixed values: forms of links, markup, code, logs, tables and product marks ---------------------------------------
 _MARK = "\x01"
@@ -198,11 +198,11 @@ def verdict() -> Column:
     stitched = F.coalesce(c("stitched") >= STITCHED, F.lit(False))
     enough = lambda name, least: c(name) >= F.when(stitched, -(-least // FEWER)).otherwise(least)
     words, per_item = enough("bare_words", FEW_WORDS), c("bare_words") / F.greatest("items", F.lit(1))
-    links = enough("bare_links", FEW_LINKS)
+    links = c("bare_links") >= FEW_LINKS
     tags = words & enough("items", FEW_ITEMS) & (per_item <= ITEM_WORDS) & (c("short_words") < SHORT_LISTED)
     products = words & (c("products") * PRODUCT_WORDS >= c("bare_words"))
     keyed = words & (c("bare_keyed") >= KEYED)
-    run = enough("bare_words", RUN_WORDS) & (c("short_words") < SHORT_WORDS) & (per_item > ITEM_WORDS)
+    run = (c("bare_words") >= RUN_WORDS) & (c("short_words") < SHORT_WORDS) & (per_item > ITEM_WORDS)
     listed = (c("density") > MOSTLY) & (links | tags | products | keyed | run)
     dressed = (c("words") >= FEW_WORDS) & (c("keyed") >= KEYED) & (c("technical") < TECHNICAL)
     repeated = stitched & (c("repeated") >= REPEATED) & (c("technical") < TECHNICAL)
