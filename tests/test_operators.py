@@ -189,3 +189,28 @@ def test_search_draws_all_parameters_and_ends_in_time(spark):
     best, trials = search(d, Roles(["x"]), "y", "id", trials=50, seconds=0.0)
     assert trials.count() == 1 and set(best) == {"trees", "depth", "rate", "subsample", "columns", "leaf", "gain", "bins"} == set(trials.columns) - {"trial", "loss"}
     assert median_model(d, Roles(["x"]), "y", **best).transform(d).filter("prediction is null").count() == 0
+
+
+def test_categories_wider_than_the_bins(spark):
+    from betaloom.operators.models import Roles, median_model, search
+
+    rows = lambda n, wide: spark.range(n).select("id", (F.col("id") % wide).cast("string").alias("c"), F.when(F.col("id") % wide % 2 == 0, 10.0).otherwise(90.0).alias("y"))
+    d, roles = rows(600, 50), Roles(categories=["c"])
+    m = median_model(d, roles, "y", trees=2, rate=1.0, bins=32)
+    assert m.stages[-1].getMaxBins() == 51 and m.transform(d).filter("abs(prediction - y) > 2").count() == 0  # no two values are taken together
+    assert median_model(d, roles, "y", trees=2, bins=64).stages[-1].getMaxBins() == 64
+    best, trials = search(d, roles, "y", "id", trials=1)
+    assert best["bins"] == trials.first()["bins"] == 51 and trials.filter("loss is null").count() == 0
+    from betaloom.operators.models import _fit, learners
+
+    for learner in learners("y", 2).values():  # 64 bins
+        assert _fit(rows(400, 100), roles, learner).transform(rows(400, 100)).filter("prediction is null").count() == 0
+
+
+def test_categories_with_a_value_in_each_row(spark):
+    from betaloom.operators.models import Roles, median_model
+
+    d = spark.range(6).select(F.col("id").cast("string").alias("c"), (F.col("id") * 1.0).alias("y"), (F.col("id") > 3).alias("held"))
+    for valid in (None, "held"):
+        out = median_model(d, Roles(categories=["c"]), "y", trees=2, valid=valid).transform(d)
+        assert out.count() == 6 and out.filter("prediction is null").count() == 0
