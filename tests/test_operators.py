@@ -214,3 +214,14 @@ def test_categories_with_a_value_in_each_row(spark):
     for valid in (None, "held"):
         out = median_model(d, Roles(categories=["c"]), "y", trees=2, valid=valid).transform(d)
         assert out.count() == 6 and out.filter("prediction is null").count() == 0
+
+
+def test_search_repeats_however_rows_are_laid_out(spark, monkeypatch):
+    from betaloom.operators import models
+    from betaloom.operators.models import Roles, search
+
+    d = spark.range(600).select("id", F.rand(1).alias("x"), (F.col("id") % 9).cast("string").alias("c")).withColumn("y", F.col("x") * 50 + F.pmod(F.xxhash64("id"), F.lit(40))).localCheckpoint()
+    run = lambda n, by: [tuple(round(v, 9) for v in t) for t in search(d.repartition(n, by), Roles(["x"], ["c"]), "y", "id", trials=2)[1].orderBy("trial").collect()]
+    assert run(1, "x") == run(7, "id")
+    monkeypatch.setattr(models, "PART_ROWS", 200)
+    assert run(2, "x") == run(5, "c")

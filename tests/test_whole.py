@@ -56,3 +56,17 @@ def test_cells_of_all_levels(spark):
     whole, first, filled = (q[n](spark, DATA) for n in ("p2_low_depth_cells_whole", "p2_low_depth_cells", "p2_low_depth_filled"))
     n = whole.count()
     assert n == filled.agg(F.count_if("beta_filled") + F.count_if("depth_filled")).first()[0] and n > first.count() == whole.filter("level = 'sample'").count()
+
+
+def test_trials_have_the_losses_of_their_trees(spark, monkeypatch):
+    """On a size where location has more values than the bins drawn; the query has no SQL, so each loss is computed again row by row."""
+    d, fit, fitted = "/root/testdata/sf0.01", learning.ml.median_model, []
+    monkeypatch.setattr(learning.ml, "median_model", lambda train, *a, **k: fitted.append((train, m := fit(train, *a, **k))) or m)
+    trials = sorted(learning.hpo_trials(spark, d).collect())
+    sample = learning._train(spark, d)
+    assert [t["trial"] for t in trials] == [0, 1, 2] and len(fitted) == 3 and sample.select("location").distinct().count() > 32
+    for t, (train, model) in zip(trials, fitted, strict=True):
+        held = model.transform(sample.join(train.select("row_id"), "row_id", "left_anti")).select("actual_beta", "prediction").collect()
+        assert len(held) + train.count() == sample.count() and len(held) > 0
+        assert abs(t["loss"] - sum(abs(y - p) for y, p in held) / 2 / len(held)) < 1e-9
+        assert t["bins"] == model.stages[-1].getMaxBins() > train.select("location").distinct().count()
