@@ -225,3 +225,26 @@ def test_search_repeats_however_rows_are_laid_out(spark, monkeypatch):
     assert run(1, "x") == run(7, "id")
     monkeypatch.setattr(models, "PART_ROWS", 200)
     assert run(2, "x") == run(5, "c")
+
+
+def test_thresholds_follow_from_all_rows(spark):
+    from betaloom.operators.models import Roles, edges, median_model
+
+    one = 12_345  # of 40,000 rows, of which Spark alone takes thresholds from 10,000
+    d = spark.range(40_000).select((F.col("id") == one).cast("double").alias("x"), F.when(F.col("id") == one, 1e6).otherwise(F.col("id") % 2).alias("y"))
+    cuts = edges(d, ["x"], [32])[32]
+    m = median_model(d, Roles(["x"]), "y", trees=1, rate=1.0, bins=32, cuts=cuts)
+    assert cuts == {"x": [0.5]} and m.stages[-1].getMaxBins() == 32 and m.transform(d).agg(F.max("prediction")).first()[0] == 1e6
+
+
+def test_edges_cut_like_numbers_of_rows(spark):
+    from bisect import bisect_right
+
+    from betaloom.operators.models import edges
+
+    vals = [float(i) for i in range(1000)] + [-7.5] * 500 + [float("inf")]
+    d = spark.createDataFrame([(v, 1.0, float(i % 5)) for i, v in enumerate(vals)], "a double, b double, c double").repartition(7)
+    got = edges(d, ["a", "b", "c"], [4, 8])
+    assert [sum(bisect_right(got[4]["a"], v) == k for v in vals) for k in range(5)] == [500, 250, 376, 375, 0]
+    assert all(got[b]["b"] == [] for b in (4, 8)) and got[8]["c"] == [0.5, 1.5, 2.5, 3.5] and len(got[4]["c"]) == 3
+    assert edges(spark.createDataFrame([(1.0,), (1.0,), (float("inf"),)], "a double"), ["a"], [2])[2]["a"][0] > 1.0

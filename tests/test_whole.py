@@ -70,3 +70,13 @@ def test_trials_have_the_losses_of_their_trees(spark, monkeypatch):
         assert len(held) + train.count() == sample.count() and len(held) > 0
         assert abs(t["loss"] - sum(abs(y - p) for y, p in held) / 2 / len(held)) < 1e-9
         assert t["bins"] == model.stages[-1].getMaxBins() > train.select("location").distinct().count()
+
+
+def test_trials_are_fitted_on_all_labelled_rows(spark, monkeypatch):
+    labelled = spark.read.parquet(f"{DATA}/calibrated_high_depth.parquet").filter("predicted_beta is not null and actual_beta is not null and not isnan(predicted_beta) and not isnan(actual_beta)")
+    monkeypatch.setattr(learning, "PER_BIN", 12)
+    fit, seen = learning.ml.median_model, []
+    monkeypatch.setattr(learning.ml, "median_model", lambda train, *a, **k: seen.append(train.select("row_id").collect()) or fit(train, *a, **k))
+    learning.hpo_trials(spark, DATA)
+    want = sorted(labelled.filter(learning.ml.part(F.col("row_id"), 5) != 0).select("row_id").collect())  # the others are held for the loss
+    assert len(seen) == 3 and len(want) > 20 * 12 and all(sorted(x) == want for x in seen)
